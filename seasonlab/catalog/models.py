@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonlab.catalog import views
-from seasonlab.catalog.profiles import BY, POSITIONS, profile_set
+from seasonlab.catalog.profiles import BY, POSITIONS, usable_set
 from seasonlab.catalog.registry import query
 from seasonlab.catalog.seasons import staged
 from seasonlab.plans import profile as profiles
@@ -16,14 +16,14 @@ from seasonlab.session import new_path
 
 SEASON_FEATURES = ["age", "adj_year", "drafted", "group_total", "group_size", "adp", "rookie", "yrs", *views.SEGMENTS]
 TWO_STARTERS = ["LARGE", "MEDIUM"]
-GRID = {"folds": 5, "alphas": 4}
 
 
 @query()
 def fit_poly_lasso(spark: SparkSession, sf: str) -> DataFrame:
     """Outcome of a roster position from its profile, degree 2."""
-    rows = profile_set(spark, sf).where(F.col("pos") == "LARGE")
-    fit = ml.fit_split(rows, "pts", ml.group_features("LARGE", TWO_STARTERS), BY, 2, **GRID)
+    rows = usable_set(spark, sf).where(F.col("pos") == "LARGE").persist()
+    fit = ml.fit_split(rows, "pts", ml.group_features("LARGE", TWO_STARTERS), BY, 2)
+    rows.unpersist()
     return ml.log_row(spark, "LARGE", "profile of one position", 2, fit, "LARGE")
 
 
@@ -31,15 +31,16 @@ def fit_poly_lasso(spark: SparkSession, sf: str) -> DataFrame:
 def two_stage_fit(spark: SparkSession, sf: str) -> DataFrame:
     """Season points and their variance for every entity-season."""
     rows = add_final_fields(staged(spark, sf), views.BASE_YEAR)
-    train = final_limits(staged(spark, sf), views.BASE_YEAR, views.PREDICT)
-    scored, _, _ = ml.two_stage_fit(train, rows, "pts", SEASON_FEATURES, "adp", ["player_id", "season"], (2, 1), **GRID)
+    train = final_limits(staged(spark, sf), views.BASE_YEAR, views.PREDICT).persist()
+    scored, _, _ = ml.two_stage_fit(train, rows, "pts", SEASON_FEATURES, "adp", ["player_id", "season"], (3, 2))
+    train.unpersist()
     return scored.select("player_id", "season", "adp", "pred", "var", "var2", "var_pred")
 
 
 @query()
 def degree_sweep(spark: SparkSession, sf: str) -> DataFrame:
     """Starter, one-line and simple feature sets at several degrees, as a results log."""
-    rows = profile_set(spark, sf).persist()
+    rows = usable_set(spark, sf).persist()
     starter = profiles.starter_points(rows, BY, "pts", tuple(TWO_STARTERS))
     line = profiles.pivot_features(rows, BY, "pts", views.PICK_SLOTS)
     simple = profiles.pivot_stats(rows, BY, "pts", POSITIONS)
@@ -48,7 +49,7 @@ def degree_sweep(spark: SparkSession, sf: str) -> DataFrame:
         "OneLine": ("all profile measures in one row", line, [c for c in line.columns if c not in (*BY, "pts")], (1,)),
         "Simple": ("average and spread per position", simple, [c for c in simple.columns if c not in (*BY, "pts")], (1, 2)),
     }
-    log, _ = ml.degree_sweep(spark, sets, "pts", BY, **GRID)
+    log, _ = ml.degree_sweep(spark, sets, "pts", BY)
     rows.unpersist()
     return log
 
@@ -56,8 +57,8 @@ def degree_sweep(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def models_by_group(spark: SparkSession, sf: str) -> DataFrame:
     """A model per position, saved, loaded again and added up to team totals."""
-    rows = profile_set(spark, sf).where(F.col("pts").isNotNull()).persist()
-    fits = ml.models_by_group(rows, "pts", POSITIONS, TWO_STARTERS, BY, 1, **GRID)
+    rows = usable_set(spark, sf).where(F.col("pts").isNotNull()).persist()
+    fits = ml.models_by_group(rows, "pts", POSITIONS, TWO_STARTERS, BY, 1)
     folder = new_path(spark, "position-models")
     ml.save_models({p: f.model for p, f in fits.items()}, folder)
     models = ml.load_models(folder, POSITIONS)

@@ -436,7 +436,8 @@ def key_violations_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "SELECT count_if(drafted IS NULL) AS drafted, count_if(yrs IS NULL) AS yrs, count_if(tm IS NULL) AS tm FROM roster",
+    """SELECT CAST(count_if(drafted IS NULL) AS BIGINT) AS drafted, CAST(count_if(yrs IS NULL) AS BIGINT) AS yrs,
+  CAST(count_if(tm IS NULL) AS BIGINT) AS tm FROM roster""",
     "roster",
     name="null_counts",
 )

@@ -23,18 +23,23 @@ def profile_set(spark: SparkSession, sf: str) -> DataFrame:
     return plan.regression_set(views.outcomes(spark, sf), views.drafted(spark, sf), make, [*BY, "pos"])
 
 
+def usable_set(spark: SparkSession, sf: str) -> DataFrame:
+    """Without the leagues in which some team lacks a starter."""
+    return plan.usable_profiles(profile_set(spark, sf))
+
+
 def a_plus_b(profiles: DataFrame) -> DataFrame:
     """A fixed prediction: the points of the first and second best member."""
     return profiles.withColumn("prediction", F.col("a_pred_points") + F.col("b_pred_points"))
 
 
 MEASURES_SQL = "a_pred_points, a_std_error, b_pred_points, b_std_error, num_others, avg_pred_points_other, avg_std_error_other"
-STATS_SQL = """SELECT *, total_points / CAST(total_players AS DOUBLE) AS average_points, sqrt(position_variance) AS std_error FROM (
+STATS_SQL = """SELECT *, total_points / nullif(CAST(total_players AS DOUBLE), 0e0) AS average_points, CASE WHEN position_variance >= 0 THEN sqrt(position_variance) END AS std_error FROM (
   SELECT *, num_others * avg_pred_points_other + a_pred_points + b_pred_points AS total_points,
     num_others + 1 + CASE WHEN b_pred_points > 0 THEN 1 ELSE 0 END AS total_players,
     num_others * avg_std_error_other * avg_std_error_other + a_std_error * a_std_error
       + CASE WHEN b_std_error = 1e4 THEN 0e0 ELSE b_std_error END * CASE WHEN b_std_error = 1e4 THEN 0e0 ELSE b_std_error END AS position_variance
-  FROM profile_set)"""
+  FROM usable_set)"""
 
 
 def _wide(measures: list[str], skip: tuple[str, ...] = ()) -> str:
@@ -72,11 +77,11 @@ def drop_bad_groups(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     """SELECT league, team, round(pts, 6) AS pts, final_pred_points FROM (SELECT league, team, coalesce(CAST(sum(CAST(pts AS DECIMAL(24,8))) AS DOUBLE), 0e0) AS pts,
   CAST(sum(CAST(a_pred_points AS DECIMAL(18,2))) + sum(CASE WHEN pos IN ('LARGE', 'MEDIUM') THEN CAST(b_pred_points AS DECIMAL(18,2)) END) AS DOUBLE) AS final_pred_points
-FROM profile_set GROUP BY 1, 2)""",
-    "profile_set",
+FROM usable_set GROUP BY 1, 2)""",
+    "usable_set",
 )
 def starter_points(spark: SparkSession, sf: str) -> DataFrame:
-    out = plan.starter_points(profile_set(spark, sf), BY, "pts", ("LARGE", "MEDIUM"))
+    out = plan.starter_points(usable_set(spark, sf), BY, "pts", ("LARGE", "MEDIUM"))
     return out.withColumn("pts", F.round("pts", 6))
 
 
@@ -84,31 +89,31 @@ _UNUSED = tuple(f"{m}_{p}" for m in ("b_pred_points", "b_std_error") for p in ("
 
 
 @query(
-    f"""SELECT w.*, round(t.pts, 6) AS pts FROM (SELECT league, team, {_wide(plan.MEASURES, _UNUSED)} FROM profile_set WHERE pos <> 'FLEX' GROUP BY 1, 2) w
-JOIN (SELECT league, team, {TOTAL_SQL} FROM profile_set GROUP BY 1, 2) t USING (league, team)""",
-    "profile_set",
+    f"""SELECT w.*, round(t.pts, 6) AS pts FROM (SELECT league, team, {_wide(plan.MEASURES, _UNUSED)} FROM usable_set WHERE pos <> 'FLEX' GROUP BY 1, 2) w
+JOIN (SELECT league, team, {TOTAL_SQL} FROM usable_set GROUP BY 1, 2) t USING (league, team)""",
+    "usable_set",
 )
 def pivot_features(spark: SparkSession, sf: str) -> DataFrame:
-    out = plan.pivot_features(profile_set(spark, sf), BY, "pts", views.PICK_SLOTS)
+    out = plan.pivot_features(usable_set(spark, sf), BY, "pts", views.PICK_SLOTS)
     return out.withColumn("pts", F.round("pts", 6))
 
 
 @query(
     f"SELECT league, team, pos, total_points, total_players, average_points, position_variance, std_error FROM ({STATS_SQL})",
-    "profile_set",
+    "usable_set",
 )
 def position_stats(spark: SparkSession, sf: str) -> DataFrame:
-    stats = plan.position_stats(profile_set(spark, sf))
+    stats = plan.position_stats(usable_set(spark, sf))
     return stats.select(*BY, "pos", "total_points", "total_players", "average_points", "position_variance", "std_error")
 
 
 @query(
     f"""SELECT w.*, round(t.pts, 6) AS pts FROM (SELECT league, team, {_wide(plan.STATS)} FROM ({STATS_SQL}) WHERE pos <> 'FLEX' GROUP BY 1, 2) w
-JOIN (SELECT league, team, {TOTAL_SQL} FROM profile_set GROUP BY 1, 2) t USING (league, team)""",
-    "profile_set",
+JOIN (SELECT league, team, {TOTAL_SQL} FROM usable_set GROUP BY 1, 2) t USING (league, team)""",
+    "usable_set",
 )
 def pivot_stats(spark: SparkSession, sf: str) -> DataFrame:
-    out = plan.pivot_stats(profile_set(spark, sf), BY, "pts", POSITIONS)
+    out = plan.pivot_stats(usable_set(spark, sf), BY, "pts", POSITIONS)
     return out.withColumn("pts", F.round("pts", 6))
 
 

@@ -383,6 +383,10 @@ GROUP BY 1, 2, 3""",
         "SELECT p.*, o.pts FROM profiles p LEFT JOIN outcomes o USING (league, team, pos)",
         ("profiles", "outcomes"),
     ),
+    "usable_set": (
+        "SELECT * FROM profile_set WHERE league NOT IN (SELECT league FROM profiles WHERE num_others = -1)",
+        ("profile_set",),
+    ),
 }
 
 

@@ -162,7 +162,7 @@ def position_stats(profiles: DataFrame) -> DataFrame:
     return out.withColumns(
         {
             "average_points": F.try_divide(F.col("total_points"), F.col("total_players").cast("double")),
-            "std_error": F.sqrt("position_variance"),
+            "std_error": F.when(F.col("position_variance") >= 0, F.sqrt("position_variance")),
         }
     )
 

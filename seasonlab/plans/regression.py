@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, MaxAbsScaler, PolynomialExpansion, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.ml.stat import Summarizer
-from pyspark.ml.tuning import CrossValidator
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +21,8 @@ from seasonlab.operators import r2
 from seasonlab.plans.sampling import train_test
 
 FOLDS = 5
-ALPHAS = 20
+ALPHAS = 100
+PATIENCE = 10
 ALPHA_SPAN = 1e-3  # smallest penalty tried, as a share of the largest useful one
 
 LOG_SCHEMA = "Name string, Description string, Model string, TimeToFinish double, TrainR2 double, TestR2 double, Position string"
@@ -50,77 +52,135 @@ def feature_stages(xs: Sequence[str], degree: int) -> list:
     return [*stages, MaxAbsScaler(inputCol=last, outputCol="_features")]
 
 
-def penalties(prepared: DataFrame, y: str, count: int = ALPHAS) -> list[float]:
-    """Log grid of penalties below the smallest one that removes every feature.
+def numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
 
-    That one is the largest covariance of a feature with the outcome. Weighting the
-    mean by the outcome gives it in one pass without products in wide rows.
+def moments(prepared: DataFrame, y: str, folds: int) -> list[np.ndarray]:
+    """Per fold, the sums of products of (1, outcome, features).
+
+    Every row is read once. What comes back has one row and column per feature,
+    whatever the number of rows.
     """
-    low = prepared.agg(F.min(y).alias("low"), F.avg(y).alias("mean")).first()
-    shifted = prepared.withColumn("_w", F.col(y) - F.lit(low["low"]))
-    stats = shifted.agg(
-        Summarizer.mean(F.col("_features")).alias("plain"), Summarizer.mean(F.col("_features"), F.col("_w")).alias("by_y")
-    ).first()
-    weight = low["mean"] - low["low"]
-    top = max((abs(a - b) * weight for a, b in zip(stats["by_y"], stats["plain"])), default=0.0)
-    if top <= 0:
-        return [0.0]
-    if count == 1:
-        return [top * ALPHA_SPAN]
-    return [top * ALPHA_SPAN ** (i / (count - 1)) for i in range(count)]
+    wide = VectorAssembler(inputCols=["_one", y, "_features"], outputCol="_v").transform(
+        prepared.withColumn("_one", F.lit(1.0))
+    )
+    wide = MLUtils.convertVectorColumnsFromML(wide.select("_fold", "_v"), "_v")
 
+    def products(fold: int) -> np.ndarray:
+        rows = wide.where(F.col("_fold") == fold).select("_v")
+        return RowMatrix(rows).computeGramianMatrix().toArray()
 
-def numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+    with ThreadPoolExecutor(folds) as pool:
+        return list(pool.map(products, range(folds)))
+
+
+def centred(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Covariance of the features, their covariance with the outcome, and the means."""
+    n = sums[0, 0]
+    means = sums[0, 1:] / n
+    cov = sums[1:, 1:] / n - np.outer(means, means)
+    return cov[1:, 1:], cov[1:, 0], means
+
+
+def shrink(cov: np.ndarray, by_y: np.ndarray, alpha: float, w: np.ndarray, tolerance: float = 1e-3, sweeps: int = 500) -> np.ndarray:
+    """Weights for one penalty from the feature covariances, starting at ``w``.
+
+    Coordinate-wise minimisation. Only features in use are swept; after they settle,
+    those whose pull exceeds the penalty join in. Settled means that no update moves
+    a pull by more than a small part of the penalty.
+    """
+    spread = np.diag(cov)
+    usable = spread > 1e-12
+    w, pull, limit = w.copy(), by_y - cov @ w, tolerance * alpha
+    for _ in range(sweeps):
+        joining = usable & (w == 0) & (np.abs(pull) > alpha + limit)
+        active = np.flatnonzero(usable & ((w != 0) | joining))
+        for _ in range(sweeps):
+            largest = 0.0
+            for j in active:
+                target = pull[j] + spread[j] * w[j]
+                excess = abs(target) - alpha
+                new = 0.0 if excess <= 0 else (excess if target > 0 else -excess) / spread[j]
+                change = new - w[j]
+                if change:
+                    w[j] = new
+                    pull -= change * cov[j]
+                    largest = max(largest, abs(change) * spread[j])
+            if largest <= limit:
+                break
+        if not joining.any():
+            break
+    return w
+
+
+def squared_error(sums: np.ndarray, w: np.ndarray, intercept: float) -> float:
+    """Mean squared error of a linear model on the rows behind the sums."""
+    v = np.concatenate([[-intercept, 1.0], -w])
+    return float(v @ sums @ v) / sums[0, 0]
+
+
+def choose_penalty(prepared: DataFrame, y: str, folds: int = FOLDS, count: int = ALPHAS, patience: int = PATIENCE) -> float:
+    """Penalty with the lowest cross-validated error on a falling log grid.
+
+    Sums of a training part are the total less the held-out fold, so all folds and
+    penalties come out of one pass over the rows. The search ends when the error has
+    not improved for ``patience`` penalties.
+    """
+    by_fold = [m for m in moments(prepared, y, folds) if m[0, 0] > 0]
+    total = np.sum(by_fold, axis=0)
+    top = np.abs(centred(total)[1]).max(initial=0.0)
+    if top <= 0 or len(by_fold) < 2:
+        return 0.0
+    parts = [centred(total - held) for held in by_fold]
+    weights = [np.zeros(len(by_y)) for _, by_y, _ in parts]
+    best, best_error, since = top, np.inf, 0
+    for alpha in top * np.logspace(0, np.log10(ALPHA_SPAN), count):
+        error = 0.0
+        for i, ((cov, by_y, means), held) in enumerate(zip(parts, by_fold)):
+            weights[i] = shrink(cov, by_y, alpha, weights[i])
+            error += squared_error(held, weights[i], means[0] - means[1:] @ weights[i])
+        if error < best_error:
+            best, best_error, since = alpha, error, 0
+        else:
+            since += 1
+        if since >= patience:
+            break
+    return float(best)
 
 
 def fit_poly_lasso(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str], degree: int = 2, folds: int = FOLDS, alphas: int = ALPHAS, prediction: str = "prediction") -> Fit:
     """L1 regression on polynomial features, penalty chosen by cross-validation.
 
-    Folds are set by a hash of the row, so a re-run makes the same choice. Fits use
-    the normal equations: one pass over the stored features each.
+    Folds are set by a hash of the row, so a re-run makes the same choice. The final
+    fit uses the normal equations, again one pass over the stored features.
     """
-    train = numeric(train, [*xs, y]).where(F.col(y).isNotNull())
     started = time.monotonic()
+    train = numeric(train, [*xs, y]).where(F.col(y).isNotNull()).select(*xs, y).persist()
+    test = numeric(test, [*xs, y]).select(*xs, y)
     prepare = Pipeline(stages=feature_stages(xs, degree)).fit(train)
     prepared = prepare.transform(train).select(
         "_features", y, F.pmod(F.xxhash64(*xs, y), F.lit(folds)).cast("int").alias("_fold")
     )
     prepared.persist()
     try:
-        regressor = LinearRegression(
+        alpha = choose_penalty(prepared, y, folds, alphas)
+        best = LinearRegression(
             featuresCol="_features",
             labelCol=y,
             predictionCol=prediction,
+            regParam=alpha,
             elasticNetParam=1.0,
             standardization=False,
             solver="normal",
             maxIter=1000,
-        )
-        grid = [{regressor.regParam: a} for a in penalties(prepared, y, alphas)]
-        if len(grid) > 1:
-            search = CrossValidator(
-                estimator=regressor,
-                estimatorParamMaps=grid,
-                evaluator=RegressionEvaluator(labelCol=y, predictionCol=prediction, metricName="mse"),
-                numFolds=folds,
-                foldCol="_fold",
-                parallelism=4,
-            ).fit(prepared)
-            best = search.bestModel
-        else:
-            best = regressor.fit(prepared, grid[0])
+        ).fit(prepared)
+        model = PipelineModel(stages=[*prepare.stages, best])
+        seconds = time.monotonic() - started
+        return Fit(model, score(model, train, y, prediction), score(model, test, y, prediction), seconds, alpha)
     finally:
         prepared.unpersist()
-    model = PipelineModel(stages=[*prepare.stages, best])
-    seconds = time.monotonic() - started
-    return Fit(
-        model,
-        score(model, train, y, prediction),
-        score(model, test, y, prediction),
-        seconds,
-        best.getOrDefault("regParam"),
-    )
+        train.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame, xs: Sequence[str], prediction: str = "prediction") -> DataFrame:
