@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonlab.catalog import views
-from seasonlab.catalog.profiles import BY, POSITIONS, usable_set
+from seasonlab.catalog.profiles import BY, POSITIONS, profile_set
 from seasonlab.catalog.registry import query
 from seasonlab.catalog.seasons import staged
 from seasonlab.plans import profile as profiles
@@ -18,10 +18,15 @@ SEASON_FEATURES = ["age", "adj_year", "drafted", "group_total", "group_size", "a
 TWO_STARTERS = ["LARGE", "MEDIUM"]
 
 
+def complete_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Profiles of groups that have all their starters, with a known outcome."""
+    return profile_set(spark, sf).where((F.col("num_others") >= 0) & F.col("pts").isNotNull())
+
+
 @query()
 def fit_poly_lasso(spark: SparkSession, sf: str) -> DataFrame:
     """Outcome of a roster position from its profile, degree 2."""
-    rows = usable_set(spark, sf).where(F.col("pos") == "LARGE").persist()
+    rows = complete_profiles(spark, sf).where(F.col("pos") == "LARGE").persist()
     fit = ml.fit_split(rows, "pts", ml.group_features("LARGE", TWO_STARTERS), BY, 2)
     rows.unpersist()
     return ml.log_row(spark, "LARGE", "profile of one position", 2, fit, "LARGE")
@@ -40,7 +45,7 @@ def two_stage_fit(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def degree_sweep(spark: SparkSession, sf: str) -> DataFrame:
     """Starter, one-line and simple feature sets at several degrees, as a results log."""
-    rows = usable_set(spark, sf).persist()
+    rows = complete_profiles(spark, sf).persist()
     starter = profiles.starter_points(rows, BY, "pts", tuple(TWO_STARTERS))
     line = profiles.pivot_features(rows, BY, "pts", views.PICK_SLOTS)
     simple = profiles.pivot_stats(rows, BY, "pts", POSITIONS)
@@ -57,7 +62,7 @@ def degree_sweep(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def models_by_group(spark: SparkSession, sf: str) -> DataFrame:
     """A model per position, saved, loaded again and added up to team totals."""
-    rows = usable_set(spark, sf).where(F.col("pts").isNotNull()).persist()
+    rows = complete_profiles(spark, sf).persist()
     fits = ml.models_by_group(rows, "pts", POSITIONS, TWO_STARTERS, BY, 1)
     folder = new_path(spark, "position-models")
     ml.save_models({p: f.model for p, f in fits.items()}, folder)

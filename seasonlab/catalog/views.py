@@ -29,6 +29,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A scan of few files over all cores, for work that is slow per row; a scan that
+    already has enough partitions is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def money(col: Column | str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast("decimal(18,2)")
 

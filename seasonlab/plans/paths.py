@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonlab.functions import Choice, amount
@@ -40,12 +40,21 @@ def path_leagues(picks: DataFrame, conditions: Sequence[Choice]) -> DataFrame:
 
 
 def chosen_next(picks: DataFrame, team: int, round_: int, conditions: Sequence[Choice] = (), teams: int = 10) -> DataFrame:
-    """The picks of a team in a round, in leagues that followed the path."""
+    """The picks of a team in a round, in leagues that followed the path.
+
+    Conditions and wanted picks are read in one pass: a league contributes no more
+    rows than there are conditions, plus one, so only those are shuffled.
+    """
     pick = pick_number(team, round_, teams)
-    rows = picks.where((F.col("team") == f"team_{team}") & (F.col("pick") == pick))
+    wanted = F.coalesce((F.col("team") == f"team_{team}") & (F.col("pick") == pick), F.lit(False))
     if not conditions:
-        return rows
-    return rows.join(path_leagues(picks, conditions), "league", "left_semi")
+        return picks.where(wanted)
+    tests = {f"_c{i}": F.coalesce(c.column(), F.lit(False)) for i, c in enumerate(conditions)}
+    rows = picks.where(reduce(lambda a, b: a | b, tests.values(), wanted))
+    league = Window.partitionBy("league")
+    met = rows.withColumns({name: F.bool_or(test).over(league) for name, test in tests.items()})
+    followed = reduce(lambda a, b: a & b, [F.col(name) for name in tests], wanted)
+    return met.where(followed).select(*picks.columns)
 
 
 def tally_choices(rows: DataFrame, info: DataFrame) -> DataFrame:
@@ -77,11 +86,13 @@ def position_averages(tally: DataFrame, measures: Sequence[str]) -> DataFrame:
 def path_summary(picks: DataFrame, info: DataFrame, team: int, round_: int, conditions: Sequence[Choice] = (), teams: int = 10, digits: int | None = None) -> DataFrame:
     """What was chosen next, per player and per position, best outcome first.
 
-    Players with an unknown info column appear only in their position's row.
+    Players with an unknown info column appear only in their position's row. The
+    tally, one row per choice, is kept in memory while it is used for rows, position
+    rows and shares; ``spark.catalog.clearCache()`` frees it.
     """
     described = [c for c in info.columns if c not in ("player_id", "pos")]
     measures = [c for c in described if dict(info.dtypes)[c] != "string"]
-    tally = tally_choices(chosen_next(picks, team, round_, conditions, teams), info)
+    tally = tally_choices(chosen_next(picks, team, round_, conditions, teams), info).persist()
     known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ["player_id", "pos", *described]])
     players = tally.where(known).select(
         F.col("player_id").cast("string").alias("player_id"),
