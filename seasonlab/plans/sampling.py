@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonlab.functions import amount, pick_owner, round_of_pick, uniform_from_hash
@@ -48,12 +48,11 @@ def replacement_level(pool: DataFrame, keys: list[str], pos: str, order: list[tu
 
     The base of a position is the mean of its ``top`` best once the first ``wait`` of
     the whole pool are gone. Those are all within the first ``wait + top`` of their
-    position, so nothing more is ranked across positions.
+    position, so only that many per position are ranked across positions.
     """
-    near = top_n(pool, [*keys, pos], order, wait + top, "_near")
-    gone = top_n(near, keys, order, wait, "_all").withColumn("_gone", F.lit(True))
-    same = [*keys, pos, "_near"]
-    left = near.join(gone.select(*same, "_gone"), same, "left").where(F.col("_gone").isNull()).drop("_gone", "_near")
+    near = top_n(pool, [*keys, pos], order, wait + top, "_near").drop("_near")
+    pool_order = Window.partitionBy(*keys).orderBy(*[F.col(c).asc() if asc else F.col(c).desc() for c, asc in order])
+    left = near.withColumn("_place", F.row_number().over(pool_order)).where(F.col("_place") > wait)
     still = top_n(left, [*keys, pos], order, top)
     means = [(F.sum(amount(v)).cast("double") / F.count(v)).alias(f"{v}_base") for v in values]
     bases = still.groupBy(*keys, pos).agg(*means)

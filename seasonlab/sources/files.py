@@ -81,6 +81,10 @@ def ingest_new(spark: SparkSession, batch: DataFrame, path: str, keys: list[str]
             raise
         new = batch
     else:
-        new = join_to_groups(batch, stored.select(*keys).distinct(), keys, "left_anti")
+        # Stored keys are first cut down to those in the batch, which is the smaller
+        # side: Spark broadcasts it while it is, and the stored table is not shuffled.
+        incoming = batch.select(*keys).distinct()
+        known = stored.select(*keys).join(incoming, keys, "left_semi").distinct()
+        new = join_to_groups(batch, known, keys, "left_anti")
     append_table(new.select(*batch.columns), path)
     return spark.read.schema(batch.schema).parquet(path)
