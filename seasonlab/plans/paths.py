@@ -34,7 +34,7 @@ def path_leagues(picks: DataFrame, conditions: Sequence[Choice]) -> DataFrame:
         return picks.select("league").distinct()
     tests = [c.column() for c in conditions]
     rows = picks.where(reduce(lambda a, b: a | b, tests))
-    met = rows.groupBy("league").agg(*[F.bool_or(F.coalesce(t, F.lit(False))).alias(f"c{i}") for i, t in enumerate(tests)])
+    met = rows.groupBy("league").agg(*[F.bool_or(t).alias(f"c{i}") for i, t in enumerate(tests)])
     every = reduce(lambda a, b: a & b, [F.col(f"c{i}") for i in range(len(tests))])
     return met.where(every).select("league")
 
@@ -46,10 +46,10 @@ def chosen_next(picks: DataFrame, team: int, round_: int, conditions: Sequence[C
     rows than there are conditions, plus one, so only those are shuffled.
     """
     pick = pick_number(team, round_, teams)
-    wanted = F.coalesce((F.col("team") == f"team_{team}") & (F.col("pick") == pick), F.lit(False))
+    wanted = (F.col("team") == f"team_{team}") & (F.col("pick") == pick)
     if not conditions:
         return picks.where(wanted)
-    tests = {f"_c{i}": F.coalesce(c.column(), F.lit(False)) for i, c in enumerate(conditions)}
+    tests = {f"_c{i}": c.column() for i, c in enumerate(conditions)}
     rows = picks.where(reduce(lambda a, b: a | b, tests.values(), wanted))
     league = Window.partitionBy("league")
     met = rows.withColumns({name: F.bool_or(test).over(league) for name, test in tests.items()})

@@ -130,7 +130,8 @@ def choose_penalty(prepared: DataFrame, y: str, folds: int = FOLDS, count: int =
     by_fold = [m for m in moments(prepared, y, folds) if m[0, 0] > 0]
     total = np.sum(by_fold, axis=0)
     top = np.abs(centred(total)[1]).max(initial=0.0)
-    if top <= 0 or len(by_fold) < 2:
+    size_of_y = np.sqrt(total[1, 1] / total[0, 0])
+    if top <= 1e-12 * size_of_y or len(by_fold) < 2:
         return 0.0
     parts = [centred(total - held) for held in by_fold]
     weights = [np.zeros(len(by_y)) for _, by_y, _ in parts]

@@ -21,8 +21,12 @@ def page_links(pages: DataFrame, key: str = "page_id", html: str = "html") -> Da
     return rows.select(key, "place", F.col("link.href").alias("href"), F.col("link.label").alias("label"))
 
 
+class _TableEnd(Exception):
+    """The table has been read; the rest of the page is not needed."""
+
+
 class _TableReader(HTMLParser):
-    """Collects cell texts and the marker attribute per row of one table."""
+    """Collects cell texts and the marker attribute per row of the first table with an id."""
 
     def __init__(self, table_id: str, marker: str) -> None:
         super().__init__()
@@ -46,14 +50,26 @@ class _TableReader(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag == "table" and self.depth:
             self.depth -= 1
+            if not self.depth:
+                raise _TableEnd
         elif self.depth == 1 and tag in ("td", "th", "tr"):
             self.in_cell = False
 
     def handle_data(self, data: str) -> None:
-        if self.in_cell and self.depth:
+        if self.in_cell and self.depth == 1:
             self.rows[-1][0][-1] += data
 
 
+def _table_rows(text: str, table_id: str, marker: str) -> list[tuple[list[str], str | None]]:
+    reader = _TableReader(table_id, marker)
+    try:
+        reader.feed(text)
+        reader.close()
+    except _TableEnd:
+        pass
+    return reader.rows
+
+
 def page_tables(pages: DataFrame, table_id: str, columns: list[str], key: str = "page_id", html: str = "html", marker: str = "data-append-csv") -> DataFrame:
     """Rows of the table with the given id on every page, as text, with the value of
     the marker attribute. Header rows, also repeated ones, are dropped."""
@@ -64,11 +80,8 @@ def page_tables(pages: DataFrame, table_id: str, columns: list[str], key: str =
         for batch in batches:
             out = []
             for page, text in zip(batch["page"], batch["html"]):
-                reader = _TableReader(table_id, marker)
-                reader.feed(text or "")
-                reader.close()
                 place = 0
-                for cells, ref in reader.rows:
+                for cells, ref in _table_rows(text or "", table_id, marker):
                     cells = [c.strip() for c in cells]
                     if not cells or cells == header:
                         continue
