@@ -154,3 +154,35 @@ def score_picks(spark: SparkSession, sf: str) -> DataFrame:
     profiles = plan.group_profile(members, views.PICK_SLOTS)
     scored = plan.score_picks(members, profiles, a_plus_b, BY)
     return scored.select(*BY, "player_id", "pos", "total")
+
+
+def with_depth(profiles: DataFrame) -> DataFrame:
+    """A fixed prediction in which the rest of the group counts for a tenth."""
+    starters = F.col("a_pred_points") + F.col("b_pred_points")
+    return profiles.withColumn("prediction", starters + 0.1 * F.col("avg_pred_points_other"))
+
+
+@query(
+    """WITH mine AS (SELECT league, player_id, pos, CAST(pred AS DECIMAL(18,2)) AS p FROM drafted WHERE team = 'team_1'),
+cand AS (SELECT league, team, player_id, pos, CAST(pred AS DECIMAL(18,2)) AS p, row_number() OVER () AS c
+  FROM drafted WHERE team <> 'team_1' AND pos IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO')),
+both_lists AS (SELECT c, cand.pos, mine.player_id, mine.p, 0 AS own FROM cand JOIN mine USING (league, pos)
+  UNION ALL SELECT c, pos, player_id, p, 1 FROM cand),
+placed AS (SELECT *, CASE WHEN pos IN ('LARGE', 'MEDIUM') THEN 2 ELSE 1 END AS q,
+  row_number() OVER (PARTITION BY c ORDER BY p DESC, player_id) AS after_rn,
+  row_number() OVER (PARTITION BY c ORDER BY own, p DESC, player_id) AS before_rn FROM both_lists),
+sums AS (SELECT c,
+  coalesce(CAST(max(CASE WHEN after_rn = 1 THEN p END) AS DOUBLE), 0e0) + coalesce(CAST(max(CASE WHEN after_rn = 2 AND q = 2 THEN p END) AS DOUBLE), 0e0)
+    + 1e-1 * coalesce(CAST(sum(CASE WHEN after_rn > q THEN p END) AS DOUBLE) / count(CASE WHEN after_rn > q THEN 1 END), 0e0) AS after_pred,
+  coalesce(CAST(max(CASE WHEN own = 0 AND before_rn = 1 THEN p END) AS DOUBLE), 0e0) + coalesce(CAST(max(CASE WHEN own = 0 AND before_rn = 2 AND q = 2 THEN p END) AS DOUBLE), 0e0)
+    + 1e-1 * coalesce(CAST(sum(CASE WHEN own = 0 AND before_rn > q THEN p END) AS DOUBLE) / count(CASE WHEN own = 0 AND before_rn > q THEN 1 END), 0e0) AS before_pred
+  FROM placed GROUP BY 1)
+SELECT league, team, player_id, pos, after_pred - before_pred AS value_add FROM cand JOIN sums USING (c)""",
+    "drafted",
+)
+def value_added(spark: SparkSession, sf: str) -> DataFrame:
+    """What any other team's member would add to team_1 of the same league."""
+    members = views.drafted(spark, sf)
+    mine, others = members.where("team = 'team_1'"), members.where("team <> 'team_1'")
+    out = plan.value_added(others, mine, views.PICK_SLOTS, with_depth)
+    return out.select(*BY, "player_id", "pos", "value_add")

@@ -44,7 +44,7 @@ def csv_glob_year(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderpriority",
         F.concat(F.lit("orders_"), F.year("o_orderdate").cast("string"), F.lit(".csv")).alias("file"),
     )
-    named.write.mode("overwrite").option("header", True).partitionBy("file").csv(path)
+    write_csv(named, path, ["file"])
     return read_csv_years(spark, f"{path}/file=orders_*.csv", ORDER_SCHEMA)
 
 

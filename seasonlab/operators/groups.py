@@ -56,15 +56,24 @@ def blend_means(a: DataFrame, b: DataFrame, keys: list[str], col_a: str, col_b:
     return means.select(*keys, blend.alias(name))
 
 
-def pivot_values(df: DataFrame, keys: list[str], pivot: str, values: list[str], categories: list[str], skip: tuple[str, ...] = ()) -> DataFrame:
-    """One row per key with a column ``<value>_<category>`` for each declared category."""
+def pivot_values(df: DataFrame, keys: list[str], pivot: str, values: list[str], categories: list[str], skip: tuple[str, ...] = (), extra: dict[str, Column] | None = None) -> DataFrame:
+    """One row per key with a column ``<value>_<category>`` for each declared category.
+
+    Keys without any declared category drop out. ``extra`` aggregates, such as a
+    total, run over all rows of the key in the same pass.
+    """
     cells = [
         F.max(F.when(F.col(pivot) == c, F.col(v))).alias(f"{v}_{c}")
         for v in values
         for c in categories
         if f"{v}_{c}" not in skip
     ]
-    return df.where(F.col(pivot).isin(categories)).groupBy(*keys).agg(*cells)
+    more = [col.alias(n) for n, col in (extra or {}).items()]
+    listed = F.col(pivot).isin(categories)
+    if not more:
+        return df.where(listed).groupBy(*keys).agg(*cells)
+    out = df.groupBy(*keys).agg(*cells, *more, F.bool_or(listed).alias("_listed"))
+    return out.where("_listed").drop("_listed")
 
 
 def r2(df: DataFrame, y: str, pred: str, name: str = "r2") -> DataFrame:

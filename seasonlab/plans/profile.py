@@ -37,47 +37,93 @@ def group_profile(members: DataFrame, slots: Slots, by: tuple[str, ...] = ("leag
     team lacks appear with their defaults.
     """
     by = list(by)
+    depth = _position_depth(members, slots, by, pred, error, key, FLEX_STARTERS)
+    per_team = depth.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("pos", "depth"))).alias("_all"))
+    groups = {p: F.try_element_at("_all", F.lit(p)) for p in slots.positions}
+    per_team = per_team.withColumns({f"_{p}": g for p, g in groups.items()})
+    rows = [_position_row(p, F.col(f"_{p}"), q) for p, q in slots.quotas.items()] + [_flex_row(slots)]
+    return per_team.select(*by, F.inline(F.array(*rows)))
+
+
+def value_added(candidates: DataFrame, members: DataFrame, slots: Slots, predict: Callable[[DataFrame], DataFrame], by: tuple[str, ...] = ("league",), pred: str = "pred", error: str = "var_pred", key: str = "player_id") -> DataFrame:
+    """How much a candidate would add to the prediction of its position.
+
+    ``members`` are those already chosen by the one team per league that is on the
+    clock. The candidate is put into the position's few best rows and sums, so the
+    team's members are not repeated per candidate.
+    """
+    by = list(by)
+    depth = _position_depth(members, slots, by, pred, error, key, 0)
+    rows = join_to_groups(candidates.where(F.col("pos").isin(slots.positions)), depth, [*by, "pos"])
+    now, new = F.col("depth"), _member(pred, error, key)
+    joined = F.struct(
+        (F.coalesce(now["n"], F.lit(0)) + 1).alias("n"),
+        *[(_zero(now[c]) + new[c]).alias(c) for c in ("p", "e")],
+        *[(F.coalesce(now[c], F.lit(0)) + new[c]).alias(c) for c in ("cp", "ce")],
+        F.sort_array(F.concat(F.coalesce(now["top"], F.array()), F.array(new))).alias("top"),
+    )
+    rows = rows.withColumn("_with", joined)
+    for name in ("depth", "_with"):
+        per_pos = [F.when(F.col("pos") == p, _position_row(p, F.col(name), q)) for p, q in slots.quotas.items()]
+        rows = rows.withColumn(f"_row{name}", F.coalesce(*per_pos))
+    keep = candidates.columns
+    for name, result in (("depth", "_before"), ("_with", "_after")):
+        measured = rows.select("*", *[F.col(f"_row{name}")[m].alias(m) for m in MEASURES])
+        rows = predict(measured).withColumnRenamed("prediction", result).drop(*MEASURES)
+    return rows.withColumn("value_add", F.col("_after") - F.col("_before")).select(*keep, "value_add")
+
+
+def _member(pred: str, error: str, key: str) -> Column:
+    """A member as a value that sorts best first."""
+    return F.struct(
+        F.col(pred).isNull().alias("unknown"),
+        (-F.col(pred).cast("double")).alias("order"),
+        F.col(key).alias("id"),
+        F.col(pred).cast("double").alias("pred"),
+        F.col(error).cast("double").alias("error"),
+        _zero(amount(pred)).alias("p"),
+        _zero(amount(error)).alias("e"),
+        F.col(pred).isNotNull().cast("long").alias("cp"),
+        F.col(error).isNotNull().cast("long").alias("ce"),
+    )
+
+
+def _position_depth(members: DataFrame, slots: Slots, by: list[str], pred: str, error: str, key: str, beyond: int) -> DataFrame:
+    """Size, sums, known values and best rows per position, as one struct ``depth``."""
     keys = [*by, "pos"]
     listed = members.where(F.col("pos").isin(slots.positions))
-    deepest = max(slots.quotas.values()) + FLEX_STARTERS
-    best = top_n(listed, keys, [(pred, False), (key, True)], deepest)
-    member = F.struct(F.col("rn"), F.col(pred).cast("double").alias("pred"), F.col(key).alias("id"), F.col(error).cast("double").alias("error"), amount(pred).alias("p"), amount(error).alias("e"))
-    tops = best.groupBy(*keys).agg(F.sort_array(F.collect_list(member)).alias("top"))
+    best = top_n(listed, keys, [(pred, False), (key, True)], max(slots.quotas.values()) + beyond)
+    tops = best.groupBy(*keys).agg(F.sort_array(F.collect_list(_member(pred, error, key))).alias("top"))
     sums = listed.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(amount(pred)).alias("p"),
-        F.sum(amount(error)).alias("e"),
+        _zero(F.sum(amount(pred))).alias("p"),
+        _zero(F.sum(amount(error))).alias("e"),
+        F.count(pred).alias("cp"),
+        F.count(error).alias("ce"),
     )
-    stats = sums.join(tops, keys)
-    per_team = stats.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct("pos", F.struct("n", "p", "e", "top").alias("s")))).alias("m")
-    )
-    for p in slots.positions:
-        per_team = per_team.withColumn(f"_{p}", F.try_element_at("m", F.lit(p)))
-    rows = [_position_row(p, q) for p, q in slots.quotas.items()] + [_flex_row(slots)]
-    return per_team.select(*by, F.inline(F.array(*rows)))
+    return sums.join(tops, keys).select(*keys, F.struct("n", "p", "e", "cp", "ce", "top").alias("depth"))
 
 
 def _zero(col: Column) -> Column:
-    return F.coalesce(col, F.lit(0).cast("decimal(38,8)"))
+    return F.coalesce(col, F.lit(0)).cast("decimal(38,8)")
 
 
-def _add(array: Column, part: str) -> Column:
-    empty = F.lit(0).cast("decimal(38,8)")
-    return F.coalesce(F.aggregate(array, empty, lambda s, x: (s + x[part]).cast("decimal(38,8)")), empty)
+def _total_of(members: Column, part: str) -> Column:
+    kind = "long" if part in ("cp", "ce") else "decimal(38,8)"
+    start = F.lit(0).cast(kind)
+    return F.coalesce(F.aggregate(members, start, lambda total, x: (total + x[part]).cast(kind)), start)
 
 
-def _rest(pos: str, quota: int) -> tuple[Column, Column, Column]:
-    """Number and sums of a position's members beyond its starters."""
-    s = F.col(f"_{pos}")
-    started = F.slice(s["top"], 1, quota)
-    n = F.coalesce(s["n"], F.lit(0)) - quota
-    return n, _zero(s["p"]) - _add(started, "p"), _zero(s["e"]) - _add(started, "e")
+def _beyond(depth: Column, quota: int) -> dict[str, Column]:
+    """Size, sums and known values of a position's members beyond its starters."""
+    started = F.slice(depth["top"], 1, quota)
+    rest = {c: F.coalesce(depth[c], F.lit(0)) - _total_of(started, c) for c in ("p", "e", "cp", "ce")}
+    return {"n": F.coalesce(depth["n"], F.lit(0)) - quota, **rest}
 
 
-def _row(pos: str, first: Column, second: Column, n: Column, p: Column, e: Column) -> Column:
-    def mean(total: Column, default: float) -> Column:
-        return F.when(n > 0, total.cast("double") / n).otherwise(F.lit(default))
+def _row(pos: str, first: Column, second: Column, rest: dict[str, Column]) -> Column:
+    def mean(total: str, known: str, default: float) -> Column:
+        return F.when(rest[known] > 0, rest[total].cast("double") / rest[known]).otherwise(F.lit(default))
 
     return F.struct(
         F.lit(pos).alias("pos"),
@@ -85,32 +131,25 @@ def _row(pos: str, first: Column, second: Column, n: Column, p: Column, e: Colum
         F.coalesce(first["error"], F.lit(NO_MEMBER_ERROR)).alias("a_std_error"),
         F.coalesce(second["pred"], F.lit(NO_POINTS)).alias("b_pred_points"),
         F.coalesce(second["error"], F.lit(NO_MEMBER_ERROR)).alias("b_std_error"),
-        n.cast("bigint").alias("num_others"),
-        mean(p, NO_POINTS).alias("avg_pred_points_other"),
-        mean(e, NO_MEMBER_ERROR).alias("avg_std_error_other"),
+        rest["n"].cast("bigint").alias("num_others"),
+        mean("p", "cp", NO_POINTS).alias("avg_pred_points_other"),
+        mean("e", "ce", NO_MEMBER_ERROR).alias("avg_std_error_other"),
     )
 
 
-def _position_row(pos: str, quota: int) -> Column:
-    top = F.col(f"_{pos}")["top"]
-    first = F.get(top, F.lit(0))
-    second = F.get(top, F.lit(1)) if quota > 1 else F.get(F.slice(top, 1, 0), F.lit(0))
-    return _row(pos, first, second, *_rest(pos, quota))
+def _position_row(pos: str, depth: Column, quota: int) -> Column:
+    started = F.slice(depth["top"], 1, quota)  # a second member counts only where two start
+    return _row(pos, F.get(started, F.lit(0)), F.get(started, F.lit(1)), _beyond(depth, quota))
 
 
 def _flex_row(slots: Slots) -> Column:
-    spare = [F.slice(F.coalesce(F.col(f"_{p}")["top"], F.array()), slots.quotas[p] + 1, FLEX_STARTERS) for p in slots.flex]
-    sortable = F.transform(
-        F.flatten(F.array(*spare)),
-        lambda x: F.struct(x["pred"].isNull().alias("u"), (-x["pred"]).alias("o"), x["id"].alias("id"), x.alias("x")),
-    )
-    ordered = F.transform(F.sort_array(sortable), lambda y: y["x"])
-    starters = F.slice(ordered, 1, FLEX_STARTERS)
-    left = [_rest(p, slots.quotas[p]) for p in slots.flex]
-    n = reduce(lambda a, b: a + b, [F.greatest(x[0], F.lit(0)) for x in left]) - FLEX_STARTERS
-    p = reduce(lambda a, b: a + b, [x[1] for x in left]) - _add(starters, "p")
-    e = reduce(lambda a, b: a + b, [x[2] for x in left]) - _add(starters, "e")
-    return _row(FLEX, F.get(starters, F.lit(0)), F.get(starters, F.lit(1)), n, p, e)
+    groups = {p: F.col(f"_{p}") for p in slots.flex}
+    spare = [F.slice(F.coalesce(g["top"], F.array()), slots.quotas[p] + 1, FLEX_STARTERS) for p, g in groups.items()]
+    started = F.slice(F.sort_array(F.flatten(F.array(*spare))), 1, FLEX_STARTERS)
+    left = [_beyond(g, slots.quotas[p]) for p, g in groups.items()]
+    rest = {c: reduce(lambda a, b: a + b, [x[c] for x in left]) - _total_of(started, c) for c in ("p", "e", "cp", "ce")}
+    rest["n"] = reduce(lambda a, b: a + b, [F.greatest(x["n"], F.lit(0)) for x in left]) - FLEX_STARTERS
+    return _row(FLEX, F.get(started, F.lit(0)), F.get(started, F.lit(1)), rest)
 
 
 def regression_set(outcome: DataFrame, members: DataFrame, features: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
@@ -128,7 +167,7 @@ def starter_points(profiles: DataFrame, by: list[str], score: str, second: tuple
     second best where two start; teams without such a position drop out."""
     two = F.col("pos").isin(list(second))
     sums = profiles.groupBy(*by).agg(
-        F.coalesce(F.sum(amount(score)), F.lit(0)).cast("double").alias(score),
+        _total(score).alias(score),
         (F.sum(amount("a_pred_points")) + F.sum(F.when(two, amount("b_pred_points")))).cast("double").alias("final_pred_points"),
     )
     return sums.where(F.col("final_pred_points").isNotNull())
@@ -138,12 +177,11 @@ def pivot_features(profiles: DataFrame, by: list[str], score: str, slots: Slots)
     """One row per team: the measures of every position and the team's total."""
     single = [p for p, q in slots.quotas.items() if q == 1]
     unused = tuple(f"{m}_{p}" for m in ("b_pred_points", "b_std_error") for p in single)
-    wide = pivot_values(profiles, by, "pos", MEASURES, slots.positions, unused)
-    return wide.join(team_total(profiles, by, score), by)
+    return pivot_values(profiles, by, "pos", MEASURES, slots.positions, unused, {score: _total(score)})
 
 
-def team_total(profiles: DataFrame, by: list[str], score: str) -> DataFrame:
-    return profiles.groupBy(*by).agg(F.coalesce(F.sum(amount(score)), F.lit(0)).cast("double").alias(score))
+def _total(score: str) -> Column:
+    return F.coalesce(F.sum(amount(score)), F.lit(0)).cast("double")
 
 
 def position_stats(profiles: DataFrame) -> DataFrame:
@@ -173,7 +211,7 @@ STATS = ["average_points", "total_players", "std_error"]
 def pivot_stats(profiles: DataFrame, by: list[str], score: str, positions: list[str]) -> DataFrame:
     """One row per team: the statistics of every position and the team's total."""
     stats = position_stats(profiles)
-    return pivot_values(stats, by, "pos", STATS, positions).join(team_total(profiles, by, score), by)
+    return pivot_values(stats, by, "pos", STATS, positions, extra={score: _total(score)})
 
 
 def score_teams(profiles: DataFrame, predict: Callable[[DataFrame], DataFrame], by: list[str]) -> DataFrame:

@@ -95,12 +95,14 @@ def leader_change(df: DataFrame, role: str, pos: str = "pos", team: str = "tm",
     Old leader: best score of the role on the entity's prior team, prior period.
     New leader: best prior score of the role among this team's rows.
     """
-    is_role = F.col(pos) == role
-    old = prior_group_max(df, is_role, team, period, score, "old_leader")
-    old = old.withColumnsRenamed({team: f"prv_{team}", period: f"prv_{period}"})
-    new = prior_group_max(df, is_role, team, period, f"prv_{score}", "new_leader")
-    out = join_to_groups(df, old, [f"prv_{team}", f"prv_{period}"])
-    out = join_to_groups(out, new, [team, period])
+    known = F.col(team).isNotNull() & F.col(period).isNotNull()
+    chosen = df.where((F.col(pos) == role) & known & ~ends_with_tm(team))
+    best = F.struct(F.max(score).alias("now"), F.max(f"prv_{score}").alias("before"))
+    leaders = chosen.groupBy(team, period).agg(best.alias("_best"))  # one table, so one shuffle, for both lookups
+    out = join_to_groups(df, leaders.withColumnsRenamed({team: f"prv_{team}", period: f"prv_{period}"}), [f"prv_{team}", f"prv_{period}"])
+    out = out.withColumn("old_leader", F.col("_best.now")).drop("_best")
+    out = join_to_groups(out, leaders, [team, period])
+    out = out.withColumn("new_leader", F.col("_best.before")).drop("_best")
     missing = F.col("new_leader").isNull() & ~ends_with_tm(team)
     return out.withColumns({"leader_diff": F.col("new_leader") - F.col("old_leader"), "no_new_leader": flag(missing)})
 

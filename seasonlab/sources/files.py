@@ -59,17 +59,24 @@ def read_csv_years(spark: SparkSession, pattern: str, schema: StructType | str,
     return df.select("*", F.nullif(found, F.lit("")).cast("int").alias(year))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    _gather(df, partition_by).write.mode("overwrite").option("header", True).partitionBy(*partition_by).csv(path)
+
+
+def _gather(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of a written partition together, in files of a useful size: without this
+    every task writes a file to every partition. Adaptive execution splits a large
+    partition over several tasks and merges small ones."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    _gather(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Append rows; the schema is in the files, so there is no header to repeat."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    _gather(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def ingest_new(spark: SparkSession, batch: DataFrame, path: str, keys: list[str]) -> DataFrame:

@@ -218,3 +218,39 @@ def test_split_keeps_identifiers_together(spark):
     assert marked.groupBy("k").agg(F.count_distinct("part").alias("n")).where("n > 1").count() == 0
     train, test = sampling.train_test(df, ["k"])
     assert train.count() + test.count() == 5000 and 0.7 < train.count() / 5000 < 0.9
+
+
+def test_unknown_predictions_are_left_out_of_averages(rows):
+    data = [("RB", "a", 5.0, 1.0), ("RB", "b", None, 2.0), ("RB", "c", 3.0, None), ("RB", "d", 1.0, 4.0), ("RB", "e", None, 6.0)]
+    df = rows([(1, "t", *r) for r in data], "league int, team string, pos string, player_id string, pred double, var_pred double")
+    out = {r.pos: r for r in profile.group_profile(df, SLOTS).collect()}
+    rb, flex = out["RB"], out["FLEX"]
+    assert (rb.a_pred_points, rb.b_pred_points, rb.num_others) == (5.0, 3.0, 3)
+    assert (rb.avg_pred_points_other, rb.avg_std_error_other, rb.b_std_error) == (1.0, 4.0, 10000.0)
+    assert (flex.a_pred_points, flex.b_pred_points, flex.num_others) == (1.0, 0.0, 1)
+    assert (flex.avg_pred_points_other, flex.avg_std_error_other) == (0.0, 6.0)
+
+
+def points_of_position(df):
+    """A made-up model in which depth counts a little."""
+    base = F.col("a_pred_points") + F.col("b_pred_points") - F.col("a_std_error") / 1000
+    return df.withColumn("prediction", base + 0.1 * F.col("num_others") * F.col("avg_pred_points_other"))
+
+
+def test_value_added_equals_profiles_with_the_candidate(spark, members):
+    schema = "league int, team string, player_id string, pos string, pred double, var_pred double"
+    df = spark.createDataFrame(members, schema)
+    mine, others = df.where("team = 'team_1'"), df.where("team <> 'team_1'")
+    out = profile.value_added(others, mine, SLOTS, points_of_position)
+    got = {r.player_id: r.value_add for r in out.collect()}
+    assert len(got) == others.count() and out.columns == [*others.columns, "value_add"]
+
+    def total(rows, league, pos):
+        a, a_error, b, _, n, mean, _ = expected_profile([r for r in rows if r[0] == league])[league, "team_1", pos]
+        return a + b - a_error / 1000 + 0.1 * n * mean
+
+    own = [r for r in members if r[1] == "team_1"]
+    for league, team, player, pos, pred, error in members:
+        if team != "team_1":
+            added = own + [(league, "team_1", player, pos, pred, error)]
+            assert got[player] == pytest.approx(total(added, league, pos) - total(own, league, pos)), player
