@@ -128,7 +128,7 @@ def split_by_group(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)), 9) AS r2 FROM (
+    """SELECT round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(y)), 4) AS r2 FROM (
   SELECT league, team, CAST(sum(CAST(pts AS DECIMAL(24,8))) AS DOUBLE) AS y, CAST(sum(CAST(a_pred_points AS DECIMAL(18,2)) + CAST(b_pred_points AS DECIMAL(18,2))) AS DOUBLE) AS p
   FROM profile_set GROUP BY 1, 2) WHERE y IS NOT NULL""",
     "profile_set",
@@ -139,7 +139,7 @@ def r2_grouped(spark: SparkSession, sf: str) -> DataFrame:
     teams = scored.groupBy(*BY).agg(
         F.sum(amount("pts")).cast("double").alias("y"), F.sum(amount("prediction")).cast("double").alias("p")
     )
-    return r2(teams, "y", "p").select(F.round("r2", 9).alias("r2"))
+    return r2(teams, "y", "p").select(F.round("r2", 4).alias("r2"))
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonlab.functions import pick_owner
-from seasonlab.operators import add_total, has_hot_group, number_rows
+from seasonlab.operators import add_total, group_sizes, number_rows
 from seasonlab.plans.lineup import Slots
 from seasonlab.plans.season import collapse_duplicates
 
@@ -53,11 +53,11 @@ def picks_total(spark: SparkSession, sf: str) -> DataFrame:
         "l_quantity",
     )
     order = ["l_linenumber", "player_id", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity"]
-    hot = has_hot_group(lines, ["league"])
-    numbered = number_rows(lines, ["league"], [(c, True) for c in order], "pick", hot)
+    sizes = group_sizes(lines, ["league"])
+    numbered = number_rows(lines, ["league"], [(c, True) for c in order], "pick", sizes)
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("player_id"), F.col("p_type").alias("pos"))
     rows = numbered.select("league", "pick", pick_owner("pick", 2).alias("team"), "player_id", "price")
-    owned = add_total(rows.join(part, "player_id"), ["league", "team"], "price", "total", hot)
+    owned = add_total(rows.join(part, "player_id"), ["league", "team"], "price", "total", sizes)
     return owned.select("league", "team", "pick", "player_id", "pos", "total")
 
 

@@ -3,19 +3,21 @@
 A filter on ``row_number() <= n`` lets Spark cut every group to n rows in each
 map task before the shuffle (WindowGroupLimit), so top-n work does not depend on
 the size of a group. Numbering all rows of a group has no such cut;
-:func:`number_rows` divides large groups into ranges instead.
+:func:`number_rows` divides the rows into ranges when a group is too large for that.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 2_000_000
-RANGES = 64
-SAMPLE_PER_RANGE = 20
+from seasonlab.session import new_path
+
+HOT_ROWS = 2_000_000  # a group beyond this is divided
+MAX_RANGES = 8192
 GROUP_LIMIT = 1000  # Spark's own bound for cutting groups before the shuffle
 
 Order = list[tuple[str, bool]]  # (column, ascending); nulls rank as the lowest value
@@ -56,39 +58,55 @@ def best_per_key(df: DataFrame, keys: list[str], order: Order, count: str | None
 
 
 def _rank(df: DataFrame, column: str, asc: bool) -> Column:
+    """A value that sorts ascending as the column does in the given direction."""
     col = F.col(column)
     kind = df.schema[column].dataType.simpleString()
     if asc:
-        return col
+        return col.alias(column)
     if kind in ("string", "boolean", "date") or kind.startswith("timestamp"):
         raise ValueError(f"descending order needs a number, {column} is {kind}")
-    return F.struct(col.isNull(), -col)
+    return F.struct(col.isNull().alias("unknown"), (-col).alias("value")).alias(column)
+
+
+@dataclass(frozen=True)
+class GroupSizes:
+    """Rows of the largest group and of all groups."""
+
+    largest: int
+    total: int
 
+    @property
+    def hot(self) -> bool:
+        return self.largest > HOT_ROWS
 
-def has_hot_group(df: DataFrame, keys: list[str], rows: int = HOT_ROWS) -> bool:
-    """Whether some group has more rows than one task should hold. Runs a job: a count
-    per group, combined before the shuffle, of which at most one row comes back."""
-    large = df.groupBy(*keys).count().where(F.col("count") > rows)
-    return large.limit(1).count() > 0
+    @property
+    def ranges(self) -> int:
+        return max(2, min(MAX_RANGES, -(-2 * self.total // HOT_ROWS)))
 
 
-def number_rows(df: DataFrame, keys: list[str], order: Order, name: str = "rn", hot: bool | None = None, ranges: int = RANGES) -> DataFrame:
+def group_sizes(df: DataFrame, keys: list[str]) -> GroupSizes:
+    """Measure groups before choosing how to work on them. Runs a job: counts per
+    group, combined before the shuffle, of which two numbers come back."""
+    row = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return GroupSizes(row[0] or 0, row[1] or 0)
+
+
+def number_rows(df: DataFrame, keys: list[str], order: Order, name: str = "rn", sizes: GroupSizes | None = None) -> DataFrame:
     """``row_number`` of every row, without one task holding a large group.
 
-    When no group is hot this is a plain window. Otherwise the rows are divided by
-    ranges of the order columns: rows per (group, range) are counted, the counts
-    before each range added up, and rows numbered inside their range. Where the cuts
-    fall only affects balance, never the numbers, so they come from a small sample.
-    ``order`` must be total within a group. ``hot`` skips the check.
+    While no group is hot this is a plain window. Otherwise the rows are cut into
+    even ranges of (keys, order): rows per group and range are counted, the counts of
+    a group's earlier ranges added up, and rows numbered inside their range. ``order``
+    must be total within a group.
     """
-    if not (has_hot_group(df, keys) if hot is None else hot):
-        w = Window.partitionBy(*keys).orderBy(*_sort(order))
-        return df.withColumn(name, F.row_number().over(w))
+    sizes = sizes or group_sizes(df, keys)
+    if not sizes.hot:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*_sort(order))))
 
-    rows = df.withColumn("_range", _range_of(order, _cuts(df, order, ranges), df))
-    sizes = rows.groupBy(*keys, "_range").count()
+    rows = in_ranges(df, keys, order, sizes.ranges)
+    counts = rows.groupBy(*keys, "_range").count()
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
+    starts = counts.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col("_range").alias("_r"),
         F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_before"),
@@ -96,40 +114,17 @@ def number_rows(df: DataFrame, keys: list[str], order: Order, name: str = "rn",
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
     joined = rows.join(starts, same & (F.col("_range") == F.col("_r")))
     inside = Window.partitionBy(*keys, "_range").orderBy(*_sort(order))
-    number = (F.row_number().over(inside) + F.col("_before")).cast("int")
+    number = (F.row_number().over(inside) + F.col("_before")).cast("int" if sizes.largest < 2**31 else "long")
     return joined.withColumn(name, number).select(*df.columns, name)
 
 
-def _cuts(df: DataFrame, order: Order, ranges: int) -> list[tuple]:
-    names = [c for c, _ in order]
-    sample = df.select(*names).orderBy(F.rand(17)).limit(ranges * SAMPLE_PER_RANGE)
-    ordered = sample.orderBy(*_sort(order)).collect()
-    step = max(1, len(ordered) // ranges)
-    return list(dict.fromkeys(tuple(r) for r in ordered[step::step]))
-
-
-def _range_of(order: Order, cuts: list[tuple], df: DataFrame) -> Column:
-    """How many cuts a row lies after or on, as a search through nested conditions."""
-
-    def after(cut: tuple) -> Column:
-        out = F.lit(True)  # a row equal to the cut belongs to the later range
-        for (name, asc), value in reversed(list(zip(order, cut))):
-            col = F.col(name)
-            lit = F.lit(value).cast(df.schema[name].dataType)
-            same = col.eqNullSafe(lit)
-            if value is None:
-                beyond = col.isNotNull() if asc else F.lit(False)
-            elif asc:
-                beyond = F.coalesce(col > lit, F.lit(False))
-            else:
-                beyond = F.coalesce(col < lit, F.lit(True))
-            out = beyond | (same & out)
-        return out
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(after(cuts[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
-
-    return search(0, len(cuts))
+def in_ranges(df: DataFrame, keys: list[str], order: Order, ranges: int) -> DataFrame:
+    """Rows with the number of their range of (keys, order), as a written table.
+
+    Spark picks the cuts from a sample of its own. Writing the rows down makes sure
+    that everything built on the ranges sees the same cuts, also after a lost executor.
+    """
+    path = new_path(df.sparkSession, "ranges")
+    ranged = df.repartitionByRange(ranges, *[F.col(k) for k in keys], *_sort(order))
+    ranged.withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -3,7 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import seasonlab.operators.ranking as ranking
 from seasonlab.operators import (
+    GroupSizes,
     add_total,
     best_per_key,
     blend_means,
@@ -16,6 +18,7 @@ from seasonlab.operators import (
     except_keys,
     fd_violations,
     fill_from,
+    group_sizes,
     group_sum,
     join_indicator,
     join_to_groups,
@@ -51,24 +54,44 @@ def hot(spark):
     )
 
 
+SMALL = GroupSizes(10, 20000)
+
+
+@pytest.fixture
+def low_bound(monkeypatch):
+    monkeypatch.setattr(ranking, "HOT_ROWS", 700)
+
+
 @pytest.mark.parametrize("ascending", [True, False])
-def test_numbers_of_divided_groups_equal_the_plain_window(hot, ascending):
+def test_numbers_of_divided_groups_equal_the_plain_window(hot, low_bound, ascending):
     order = [("v", ascending), ("id", True)]
-    plain = number_rows(hot, ["g"], order, hot=False).select("g", "id", "rn")
-    divided = number_rows(hot, ["g"], order, hot=True, ranges=16).select("g", "id", "rn")
+    sizes = group_sizes(hot, ["g"])
+    assert sizes.hot and sizes.total == 20000 and sizes.ranges == 58
+    plain = number_rows(hot, ["g"], order, sizes=SMALL).select("g", "id", "rn")
+    divided = number_rows(hot, ["g"], order).select("g", "id", "rn")
     assert divided.exceptAll(plain).count() == 0 and divided.count() == 20000
 
 
 def test_divided_groups_are_spread_over_ranges(hot):
-    plan = number_rows(hot, ["g"], [("v", True), ("id", True)], hot=True, ranges=16)
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert "_range" in text and "Window [row_number() windowspecdefinition(g" in text
+    rows = ranking.in_ranges(hot, ["g"], [("v", True), ("id", True)], 60)
+    counts = [r["count"] for r in rows.where("g = 0").groupBy("_range").count().collect()]
+    assert len(counts) > 15 and max(counts) < 1000
+    ends = rows.where("g = 0").groupBy("_range").agg(F.min(F.struct("v", "id")).alias("a"), F.max(F.struct("v", "id")).alias("b"))
+    ends = [tuple((x.v if x.v is not None else -1, x.id) for x in (e.a, e.b)) for e in ends.orderBy("_range").collect()]
+    assert all(before[1] < after[0] for before, after in zip(ends, ends[1:]))
+
+
+def test_a_value_held_by_all_rows_is_divided_too(spark, low_bound):
+    df = spark.range(5000).select(F.lit(1).alias("g"), F.lit(7).alias("v"), "id")
+    order = [("v", False), ("id", True)]
+    assert number_rows(df, ["g"], order).where("rn <> id + 1").count() == 0
+    assert ranking.in_ranges(df, ["g"], order, 30).select("_range").distinct().count() > 20
 
 
-def test_totals_joined_back_equal_the_window(hot):
+def test_totals_joined_back_equal_the_window(hot, low_bound):
     cast = hot.withColumn("v", F.col("v").cast("long"))
-    a = add_total(cast, ["g"], "v", hot=False).select("g", "id", "total")
-    b = add_total(cast, ["g"], "v", hot=True).select("g", "id", "total")
+    a = add_total(cast, ["g"], "v", sizes=SMALL).select("g", "id", "total")
+    b = add_total(cast, ["g"], "v").select("g", "id", "total")
     assert a.exceptAll(b).count() == 0 and b.count() == 20000
 
 
@@ -248,10 +271,11 @@ def test_quality_checks(rows):
     assert check_same_columns({1: df, 2: df.limit(1)}) and not check_same_columns({1: df, 2: dummies})
 
 
-def test_numbering_random_orders(spark):
+def test_numbering_random_orders(spark, monkeypatch):
     rng = random.Random(5)
     data = [(rng.choice("aab"), rng.choice([None, 1, 2, 3]), rng.random(), i) for i in range(600)]
     df = spark.createDataFrame(data, "g string, a int, b double, i int")
     order = [("a", False), ("b", False), ("i", True)]
-    plain = number_rows(df, ["g"], order, hot=False).select("i", "rn")
-    assert number_rows(df, ["g"], order, hot=True, ranges=7).select("i", "rn").exceptAll(plain).count() == 0
+    plain = number_rows(df, ["g"], order).select("i", "rn").collect()
+    monkeypatch.setattr(ranking, "HOT_ROWS", 50)
+    assert sorted(number_rows(df, ["g"], order).select("i", "rn").collect()) == sorted(plain)

@@ -53,7 +53,7 @@ HOT_KEYED = [
 
 @pytest.mark.parametrize("name", HOT_KEYED)
 def test_query_equals_sql_with_a_hot_key(spark, skewed, name, monkeypatch):
-    monkeypatch.setattr(ranking.has_hot_group, "__defaults__", (100,))
+    monkeypatch.setattr(ranking, "HOT_ROWS", 100)
     folder, con = skewed
     assert compare(spark, con, name, folder) is None
 
