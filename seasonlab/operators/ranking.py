@@ -70,7 +70,7 @@ def _rank(df: DataFrame, column: str, asc: bool) -> Column:
 
 @dataclass(frozen=True)
 class GroupSizes:
-    """Rows of the largest group and of all groups."""
+    """Rows of the largest group, at most, and of all groups."""
 
     largest: int
     total: int
@@ -85,10 +85,16 @@ class GroupSizes:
 
 
 def group_sizes(df: DataFrame, keys: list[str]) -> GroupSizes:
-    """Measure groups before choosing how to work on them. Runs a job: counts per
-    group, combined before the shuffle, of which two numbers come back."""
-    row = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
-    return GroupSizes(row[0] or 0, row[1] or 0)
+    """Measure groups before choosing how to work on them. Runs one or two jobs.
+
+    A table that is small as a whole, for a scan known from its file footers, has no
+    large group. Otherwise rows are counted per group, combined before the shuffle,
+    and two numbers come back.
+    """
+    total = df.count()
+    if total <= HOT_ROWS:
+        return GroupSizes(total, total)
+    return GroupSizes(df.groupBy(*keys).count().agg(F.max("count")).first()[0], total)
 
 
 def number_rows(df: DataFrame, keys: list[str], order: Order, name: str = "rn", sizes: GroupSizes | None = None) -> DataFrame:

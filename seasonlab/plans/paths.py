@@ -83,18 +83,22 @@ def position_averages(tally: DataFrame, measures: Sequence[str]) -> DataFrame:
     return share_percent(out, "count")
 
 
-def path_summary(picks: DataFrame, info: DataFrame, team: int, round_: int, conditions: Sequence[Choice] = (), teams: int = 10, digits: int | None = None) -> DataFrame:
-    """What was chosen next, per player and per position, best outcome first.
+def _described(info: DataFrame) -> list[str]:
+    return [c for c in info.columns if c not in ("player_id", "pos")]
+
+
+def _known(info: DataFrame) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ["player_id", "pos", *_described(info)]])
 
-    Players with an unknown info column appear only in their position's row. The
-    tally, one row per choice, is kept in memory while it is used for rows, position
-    rows and shares; ``spark.catalog.clearCache()`` frees it.
+
+def summarise(tally: DataFrame, info: DataFrame, digits: int | None = None) -> DataFrame:
+    """Rows per player and per position from a tally, best outcome first.
+
+    Players with an unknown info column appear only in their position's row.
     """
-    described = [c for c in info.columns if c not in ("player_id", "pos")]
+    described = _described(info)
     measures = [c for c in described if dict(info.dtypes)[c] != "string"]
-    tally = tally_choices(chosen_next(picks, team, round_, conditions, teams), info).persist()
-    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ["player_id", "pos", *described]])
-    players = tally.where(known).select(
+    players = tally.where(_known(info)).select(
         F.col("player_id").cast("string").alias("player_id"),
         "pos",
         *[F.col(c).cast("double").alias(c) if c in measures else F.col(c) for c in described],
@@ -114,26 +118,47 @@ def path_summary(picks: DataFrame, info: DataFrame, team: int, round_: int, cond
     return out.orderBy(F.col("mean").desc(), F.col("player_id"))
 
 
-def expected_outcome(picks: DataFrame, info: DataFrame, team: int, round_: int, conditions: Sequence[Choice] = (), teams: int = 10) -> DataFrame:
-    """Expected outcome of the path and the number of samples behind it, as one row.
+def expect(tally: DataFrame, info: DataFrame, pick: int) -> DataFrame:
+    """Expected outcome and number of samples behind it, as one row.
 
     The mean runs over player rows and position rows alike, weighted by their counts.
     """
-    described = [c for c in info.columns if c not in ("player_id", "pos")]
-    tally = tally_choices(chosen_next(picks, team, round_, conditions, teams), info)
-    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ["player_id", "pos", *described]])
-    per_player = [F.when(known, F.col(c)) for c in ("_sum", "_n")]
+    per_player = [F.when(_known(info), F.col(c)) for c in ("_sum", "_n")]
     per_pos = [F.when(F.col("pos").isNotNull(), F.col(c)) for c in ("_sum", "_n")]
     nothing = F.lit(0)
     total = F.coalesce(F.sum(per_player[0]), nothing) + F.coalesce(F.sum(per_pos[0]), nothing)
     n = F.coalesce(F.sum(per_player[1]), nothing) + F.coalesce(F.sum(per_pos[1]), nothing)
     return tally.agg(
-        F.lit(pick_number(team, round_, teams)).alias("pick"),
+        F.lit(pick).alias("pick"),
         _mean(total, n).alias("expected"),
         F.coalesce(F.sum(per_pos[1]), nothing).alias("samples"),
     )
 
 
+def path_summary(picks: DataFrame, info: DataFrame, team: int, round_: int, conditions: Sequence[Choice] = (), teams: int = 10, digits: int | None = None) -> DataFrame:
+    """What was chosen next on a path, per player and per position.
+
+    The tally, one row per choice, is kept in memory while it is used for rows,
+    position rows and shares; ``spark.catalog.clearCache()`` frees it.
+    """
+    tally = tally_choices(chosen_next(picks, team, round_, conditions, teams), info).persist()
+    return summarise(tally, info, digits)
+
+
+def expected_outcome(picks: DataFrame, info: DataFrame, team: int, round_: int, conditions: Sequence[Choice] = (), teams: int = 10) -> DataFrame:
+    """Expected outcome of the path and the number of samples behind it, as one row."""
+    tally = tally_choices(chosen_next(picks, team, round_, conditions, teams), info)
+    return expect(tally, info, pick_number(team, round_, teams))
+
+
+def before_choice(picks: DataFrame, info: DataFrame, team: int, round_: int, conditions: Sequence[Choice] = (), teams: int = 10, digits: int | None = None) -> tuple[int, DataFrame, DataFrame]:
+    """All a team wants to know before a choice: its pick number, the summary and the
+    expected outcome, both from one tally."""
+    pick = pick_number(team, round_, teams)
+    tally = tally_choices(chosen_next(picks, team, round_, conditions, teams), info).persist()
+    return pick, summarise(tally, info, digits), expect(tally, info, pick)
+
+
 def to_records(df: DataFrame, name: str = "record") -> DataFrame:
     """Rows as JSON records."""
     return df.select(F.to_json(F.struct(*df.columns)).alias(name))

@@ -127,6 +127,14 @@ def test_expected_outcome_is_the_weighted_mean_of_the_summary(picks, info):
     assert out.pick == 8 and out.samples == sum(r["count"] for r in summary if r.player_id.startswith("Avg"))
 
 
+def test_all_before_a_choice(picks, info):
+    conditions = typed(CASES[1])
+    pick, summary, expected = paths.before_choice(picks, info, 2, 3, conditions, 3, digits=2)
+    assert pick == 8
+    assert summary.collect() == paths.path_summary(picks, info, 2, 3, conditions, 3, digits=2).collect()
+    assert expected.collect() == paths.expected_outcome(picks, info, 2, 3, conditions, 3).collect()
+
+
 def test_an_empty_path_gives_nothing(picks, info):
     nobody = [Choice(1, ("nobody",))]
     assert paths.path_summary(picks, info, 1, 2, nobody, 3).count() == 0
