@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from seasonlab.catalog import views
 from seasonlab.catalog.registry import query
+from seasonlab.functions import Scoring
+from seasonlab.functions.scoring import score_season_stats
 from seasonlab.operators import blend_means, join_to_groups
+from seasonlab.plans import rankings as spelling
 from seasonlab.plans import season as plan
 from seasonlab.plans.sampling import sampled_order as draw_orders
 from seasonlab.plans.sampling import softmax_group as softmax
@@ -214,3 +217,63 @@ FROM (SELECT *, row_number() OVER (PARTITION BY season, sample ORDER BY draw DES
 def sampled_order(spark: SparkSession, sf: str) -> DataFrame:
     drafts = draw_orders(blend(spark, sf), ["season"], "player_id", "adp", views.TEMPERATURE, samples=5, picks=140, seed=7)
     return drafts.select("season", "sample", "player_id", "pick", "round", "team")
+
+
+def _pick(values: list[str], index: str) -> str:
+    """One of the values by a number from 0, as SQL both engines read."""
+    return f"CASE {index} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
+
+
+NAMES = ["Steve Smith", "Marvin Jones Jr.", "CJ Anderson", "Robert Griffin III", "Devin Funchess", "Mitch Trubisky", "Odell Beckham II", "A Player"]
+CODES = ["GB", "LV", "LAC", "LAR", "KC", "CHI"]
+LISTED = f"""SELECT c_custkey, {_pick(NAMES, "c_custkey % 8")} AS "Name",
+  {_pick(CODES, "c_nationkey % 6")} AS "Team",
+  {_pick(["QB", "RB", "WR", "TE", "K"], "c_custkey % 5")} AS "Position", CAST(2014 + c_nationkey % 7 AS INT) AS "Year" FROM customer"""
+
+
+@query(
+    f"""SELECT c_custkey, CASE WHEN "Name" = 'Steve Smith' THEN 'Steve Smith Sr.' WHEN "Name" = 'Marvin Jones Jr.' THEN 'Marvin Jones'
+    WHEN "Name" = 'CJ Anderson' THEN 'C.J. Anderson' WHEN "Name" = 'Mitch Trubisky' THEN 'Mitchell Trubisky'
+    WHEN "Name" = 'Odell Beckham II' THEN 'Odell Beckham' ELSE "Name" END AS "Name",
+  CASE WHEN "Team" = 'LV' AND "Year" <= 2019 THEN 'OAK' WHEN "Team" = 'LV' THEN 'LVR' WHEN "Team" = 'LAC' AND "Year" <= 2016 THEN 'SDG'
+    WHEN "Team" = 'LAR' AND "Year" <= 2015 THEN 'STL' WHEN "Team" = 'GB' THEN 'GNB' WHEN "Team" = 'KC' THEN 'KAN' ELSE "Team" END AS "Team",
+  CASE WHEN "Name" = 'Devin Funchess' THEN 'WR' ELSE "Position" END AS "Position", CAST(c_custkey AS VARCHAR) AS "PositionRank", "Year"
+FROM ({LISTED}) WHERE "Position" <> 'K'"""
+)
+def normalise_rankings(spark: SparkSession, sf: str) -> DataFrame:
+    """A ranking list made of the customers, in the season table's spelling."""
+    listed = views.table(spark, sf, "customer").select(
+        "c_custkey",
+        F.expr(_pick(NAMES, "c_custkey % 8")).alias("Name"),
+        F.expr(_pick(CODES, "c_nationkey % 6")).alias("Team"),
+        F.expr(_pick(["QB", "RB", "WR", "TE", "K"], "c_custkey % 5")).alias("Position"),
+        (F.col("c_nationkey") % 7 + 2014).alias("Year"),
+    )
+    ranked = listed.withColumn("PositionRank", F.concat("Position", F.col("c_custkey").cast("string")))
+    return spelling.normalise_rankings(ranked)
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, p_name AS "Player", p_type AS "FantPos",
+  l_quantity * 4e-2 + 0e0 * 4e0 + CAST(l_linenumber AS DOUBLE) * -2e0 + coalesce(l_discount, 0e0) * 1e-1 + 0e0 * 6e0
+    + 0e0 * 1e-1 + 0e0 * 6e0 + 0e0 * -2e0 + 0e0 * 2e0 + 0e0 * 2e0 + l_tax * 5e-1 AS "Pts_HPPR"
+FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type <> 'SMALL'"""
+)
+def season_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines as season stat rows in text, with header rows among them."""
+    scoring = Scoring("HPPR")
+    given = {"PassYds": "l_quantity", "PassInt": "l_linenumber", "RushYds": "l_discount", "Rec": "l_tax"}
+    part = views.table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type")
+    lines = views.table(spark, sf, "lineitem").join(part, "l_partkey")
+    empty = F.lit(None).cast("string")
+    texts = [(F.col(given[c]).cast("string") if c in given else empty).alias(c) for c in [*scoring.weights, "FantPt", "PPR"]]
+    stats = lines.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.lit("1").alias("Rk"),
+        F.explode(F.array(F.concat("p_name", F.lit("*+")), F.lit("Player"))).alias("Player"),
+        F.when(F.col("p_type") != "SMALL", F.col("p_type")).alias("FantPos"),
+        *texts,
+    )
+    out = score_season_stats(stats, scoring)
+    return out.select("l_orderkey", "l_linenumber", "Player", "FantPos", scoring.points)

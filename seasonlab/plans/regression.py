@@ -17,6 +17,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seasonlab.functions import amount
 from seasonlab.operators import r2
 from seasonlab.plans.sampling import train_test
 
@@ -274,7 +275,9 @@ def group_predictor(models: dict[str, PipelineModel], pos: str = "pos") -> Calla
 def overall_r2(df: DataFrame, models: dict[str, PipelineModel], y: str, identifiers: list[str]) -> DataFrame:
     """R² of predictions added up per identifier."""
     scored = group_predictor(models)(df)
-    sums = scored.groupBy(*identifiers).agg(F.sum(y).cast("double").alias("y"), F.sum("prediction").alias("p"))
+    sums = scored.groupBy(*identifiers).agg(
+        F.sum(amount(y)).cast("double").alias("y"), F.sum(amount("prediction")).cast("double").alias("p")
+    )
     return r2(sums, "y", "p")
 
 

@@ -73,7 +73,8 @@ def _table_rows(text: str, table_id: str, marker: str) -> list[tuple[list[str],
 def page_tables(pages: DataFrame, table_id: str, columns: list[str], key: str = "page_id", html: str = "html", marker: str = "data-append-csv") -> DataFrame:
     """Rows of the table with the given id on every page, as text, with the value of
     the marker attribute. Header rows, also repeated ones, are dropped."""
-    schema = ", ".join(["page long", "place int", "ref string", *[f"`{c}` string" for c in columns]])
+    kind = pages.schema[key].dataType.simpleString()
+    schema = ", ".join([f"page {kind}", "place int", "ref string", *[f"`{c}` string" for c in columns]])
     header = list(columns)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -90,5 +91,5 @@ def page_tables(pages: DataFrame, table_id: str, columns: list[str], key: str =
                     place += 1
             yield pd.DataFrame(out, columns=["page", "place", "ref", *header])
 
-    rows = pages.select(F.col(key).cast("long").alias("page"), F.col(html).alias("html"))
+    rows = pages.select(F.col(key).alias("page"), F.col(html).alias("html"))
     return rows.mapInPandas(read, schema).withColumnRenamed("page", key)

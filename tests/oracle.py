@@ -21,6 +21,15 @@ TABLES = (
     "documents embeddings pages benchmark labels conversations"
 ).split()
 
+KINDS = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
 
 def connect(sf: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
@@ -53,24 +62,20 @@ def compare(spark, con, name: str, sf: str) -> str | None:
 
     df = queries()[name](spark, sf)
     ours = _rows(df.columns, [tuple(r) for r in df.collect()])
-    result = con.execute(oracle_sql()[name])
-    kinds = {d[0]: str(d[1]) for d in result.description}
+    sql = oracle_sql()[name]
+    kinds = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    result = con.execute(sql)
     theirs = _rows([d[0] for d in result.description], result.fetchall())
     if ours[0] != theirs[0]:
         return f"columns {ours[0]} and {theirs[0]}"
-    sorts = {"bigint": "NUMBER", "int": "NUMBER", "double": "NUMBER", "string": "STRING", "boolean": "bool"}
     if ours[1] != theirs[1]:
         only_ours, only_theirs = ours[1] - theirs[1], theirs[1] - ours[1]
         return (
             f"{sum(ours[1].values())} and {sum(theirs[1].values())} rows, {sum(only_ours.values())} differ:\n"
             f"   {ours[0]}\n   spark {list(only_ours)[:2]}\n   sql   {list(only_theirs)[:2]}"
         )
-    types = dict(df.dtypes)
-    wrong = [
-        f"{c}: {types[c]} and {k}"
-        for c, k in kinds.items()
-        if (types[c] == "double") != (k == "DOUBLE") or (types[c] in ("int", "bigint")) != (k in ("INTEGER", "BIGINT"))
-    ]
+    expected = {n: KINDS.get(t, t) for n, t in df.dtypes}
+    wrong = [f"{c}: {expected[c]} and {k}" for c, k in kinds.items() if expected[c] != k]
     return f"types {wrong}" if wrong else None
 
 

@@ -65,3 +65,9 @@ def test_model_queries_give_rows(spark, name):
 
 def test_entry(spark):
     assert entry(spark).count() == 98
+
+
+def test_projection_and_filter_reach_the_scan(spark):
+    plan = queries()["scan_project"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_shipdate" in plan and "LessThan(l_shipdate" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_extendedprice:double,l_shipdate:timestamp_ntz>" in plan

@@ -116,6 +116,12 @@ def test_tables_from_pages(rows):
     ]
 
 
+def test_pages_without_the_table_and_text_keys(rows):
+    pages = rows([("a", "<p>none</p>"), ("b", None)], "page_id string, html string")
+    out = page_tables(pages, "stats", ["Rk"])
+    assert out.count() == 0 and dict(out.dtypes)["page_id"] == "string"
+
+
 def test_links_from_pages(rows):
     pages = rows([(1, '<a href="/x">X</a> <a class="c" href="/n">n</a><a href="/y"></a>'), (2, "")], "page_id long, html string")
     assert values(page_links(pages)) == [(1, 0, "/x", "X"), (1, 1, "/y", "")]
