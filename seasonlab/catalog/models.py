@@ -51,7 +51,7 @@ def degree_sweep(spark: SparkSession, sf: str) -> DataFrame:
     simple = profiles.pivot_stats(rows, BY, "pts", POSITIONS)
     sets = {
         "Starter": ("predicted points of starters", starter, ["final_pred_points"], (1, 2, 3)),
-        "OneLine": ("all profile measures in one row", line, [c for c in line.columns if c not in (*BY, "pts")], (1,)),
+        "OneLine": ("all profile measures in one row", line, [c for c in line.columns if c not in (*BY, "pts")], (1, 2)),
         "Simple": ("average and spread per position", simple, [c for c in simple.columns if c not in (*BY, "pts")], (1, 2)),
     }
     log, _ = ml.degree_sweep(spark, sets, "pts", BY)
