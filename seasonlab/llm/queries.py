@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from seasonlab.llm.benchmark import contamination
 from seasonlab.llm.common import table
 from seasonlab.llm.exact import exact_duplicates
 from seasonlab.llm.mixing import mix
@@ -41,6 +42,30 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM placed
 """
 
+LETTERS_SQL = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+CONTAMINATION_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {LETTERS_SQL} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {LETTERS_SQL} AS w FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, array_to_string(w[i : i + 9], ' ') AS gram, least(len(w), 10) AS n
+  FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0
+),
+grams AS (
+  SELECT row, i, n, array_to_string(w[i : i + n - 1], ' ') AS gram
+  FROM d, (SELECT DISTINCT n FROM windows), unnest(range(1, len(w) - n + 2)) AS t(i)
+),
+hits AS (SELECT row, i, n, item_id FROM grams JOIN windows USING (gram, n)),
+covered AS (SELECT row, count(DISTINCT i + k) AS n_hit FROM (SELECT DISTINCT row, i, n FROM hits), unnest(range(0, n)) AS t(k) GROUP BY row),
+found AS (SELECT row, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT row, item_id FROM hits) GROUP BY row)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (row) LEFT JOIN found USING (row)
+"""
+
 
 @query(MIX_SQL)
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +77,11 @@ def op6_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_size(table(spark, sf_dir, "documents"))
 
 
+@query(CONTAMINATION_SQL)
+def op8_benchmark_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query(
     """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
