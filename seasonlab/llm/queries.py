@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from seasonlab.llm.benchmark import contamination
 from seasonlab.llm.common import table
 from seasonlab.llm.exact import exact_duplicates
+from seasonlab.llm.langid import identify
 from seasonlab.llm.mixing import mix
 from seasonlab.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from seasonlab.llm.shards import shard_by_size
+from seasonlab.llm.toxicity import toxicity
 
 MIX_SQL = r"""
 WITH rows AS (
@@ -72,6 +74,11 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op6_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_size(table(spark, sf_dir, "documents"))
@@ -91,3 +98,8 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 )
 def op9_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
