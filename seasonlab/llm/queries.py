@@ -9,6 +9,7 @@ from seasonlab.llm.common import table
 from seasonlab.llm.exact import exact_duplicates
 from seasonlab.llm.langid import identify
 from seasonlab.llm.mixing import mix
+from seasonlab.llm.pages import extract_pages
 from seasonlab.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from seasonlab.llm.shards import shard_by_size
 from seasonlab.llm.toxicity import toxicity
@@ -79,6 +80,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op5_html_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op6_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_size(table(spark, sf_dir, "documents"))
