@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from seasonlab.llm.benchmark import contamination
 from seasonlab.llm.common import table
 from seasonlab.llm.exact import exact_duplicates
+from seasonlab.llm.jaccard import near_duplicates
 from seasonlab.llm.langid import identify
 from seasonlab.llm.mixing import mix
 from seasonlab.llm.pages import extract_pages
@@ -69,6 +70,30 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN covered USING (row) LEFT JOIN found USING (row)
 """
 
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+ids AS (SELECT doc_id, md5_number_lower(g) AS g FROM s),
+links AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM ids x JOIN ids y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2)
+  JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * o >= 80 * (p.n + q.n - o)
+),
+either AS (SELECT a AS u, b AS v FROM links UNION SELECT b, a FROM links),
+reach(u, v) AS (SELECT doc_id, doc_id FROM n UNION SELECT reach.u, either.v FROM reach JOIN either ON reach.v = either.u)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.v, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT u AS doc_id, min(v) AS v FROM reach GROUP BY u) m USING (doc_id)
+"""
+
+
+@query(JACCARD_SQL)
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
 
 @query(MIX_SQL)
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
