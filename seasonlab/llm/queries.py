@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from seasonlab.llm.benchmark import contamination
 from seasonlab.llm.common import table
@@ -13,6 +14,7 @@ from seasonlab.llm.mixing import mix
 from seasonlab.llm.pages import extract_pages
 from seasonlab.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from seasonlab.llm.shards import shard_by_size
+from seasonlab.llm.suffixes import without_repeats
 from seasonlab.llm.toxicity import toxicity
 
 MIX_SQL = r"""
@@ -95,6 +97,18 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query(MIX_SQL)
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
