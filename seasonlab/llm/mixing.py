@@ -139,3 +139,14 @@ def mix(docs: DataFrame, block: int = 1_024, id_col: str = "doc_id", text_col: s
     met = pieces.join(slots, ["src", "block"], "left")
     out = met.groupBy("row", "doc_id", "size", "source_size", "target").agg(F.coalesce(F.sum(part), F.lit(0)).cast("long").alias("taken"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def repeat_to_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows, all columns, each as often as the mix takes it, rounded to whole texts.
+
+    Rows that share an id share what is taken of them; rows without words go.
+    """
+    taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col).groupBy("doc_id").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
+    times = taken.select(F.col("doc_id").alias("_id"), F.floor(F.try_divide(F.col("_taken"), F.col("_size")) + 0.5).cast("int").alias("_times")).where("_times > 0")
+    met = docs.join(times, F.col(id_col).cast("long").eqNullSafe(F.col("_id")))
+    return met.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("_times"))).alias("_again")).drop("_again")

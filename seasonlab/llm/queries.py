@@ -10,6 +10,7 @@ from seasonlab.llm.common import table
 from seasonlab.llm.exact import exact_duplicates
 from seasonlab.llm.jaccard import near_duplicates
 from seasonlab.llm.langid import identify
+from seasonlab.llm.lines import fuzzy_lines
 from seasonlab.llm.mixing import mix
 from seasonlab.llm.pages import extract_pages
 from seasonlab.llm.registry import ORACLES, QUERIES, query  # noqa: F401
@@ -129,6 +130,11 @@ def op6_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_size(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines(table(spark, sf_dir, "documents"))
+
+
 @query(CONTAMINATION_SQL)
 def op8_benchmark_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
