@@ -25,14 +25,15 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.get(F.array(*[F.lit(w) for w in weights]), F.pmod(F.col("src"), F.lit(len(weights)))).cast("double")
     listed = sizes.withColumn("src", place).withColumn("weight", weight)
-    by_level = Window.orderBy((F.col("source_size") / F.col("weight")).asc(), "src")
+    order = [F.col("source_size") / F.col("weight"), F.col("src")]
+    by_level = Window.orderBy(*order)
     before = by_level.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()
     rest = share * F.sum("source_size").over(whole) - most * F.coalesce(F.sum("source_size").over(before), F.lit(0))
     left = F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
     level = listed.withColumn("level", rest / left)
     holds = F.col("level") <= most * F.col("source_size") / F.col("weight")
-    level = level.withColumn("level", F.min(F.when(holds, F.struct("source_size", "level"))).over(whole)["level"])
+    level = level.withColumn("level", F.min(F.when(holds, F.struct(*order, "level"))).over(whole)["level"])
     top = most * F.col("source_size")
     target = F.coalesce(F.least(top, F.col("level") * F.col("weight")), top)
     return level.select("src", "source", "source_size", target.alias("target"))
