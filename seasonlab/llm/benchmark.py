@@ -174,7 +174,7 @@ def matched(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_
 
 def _either(a: str, b: str) -> Column:
     @F.udf("binary")
-    def both(x: bytes, y: bytes) -> bytes:
+    def both(x, y):
         if not x or not y:
             return bytes(x or y)
         return (np.frombuffer(x, np.uint8) | np.frombuffer(y, np.uint8)).tobytes()
