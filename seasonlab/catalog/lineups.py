@@ -24,7 +24,7 @@ USER_PLACES = {"QB": 2, "RB": 4, "WR": 4, "TE": 2}
 def rank_in_group(spark: SparkSession, sf: str) -> DataFrame:
     order = [("pts", False), ("event_id", True)]
     ranked = number_rows(views.weekly(spark, sf), ["week", "team", "pos"], order)
-    return ranked.select("event_id", "week", "team", "pos", "rn")
+    return ranked.select("event_id", "week", "team", "pos", F.col("rn").cast("int").alias("rn"))
 
 
 @query(

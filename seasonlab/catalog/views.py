@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonlab.functions import pick_owner
-from seasonlab.operators import add_total, group_sizes, number_rows
+from seasonlab.operators import add_total, number_rows
 from seasonlab.plans.lineup import Slots
 from seasonlab.plans.season import collapse_duplicates
+from seasonlab.session import derived_table
 
 PICK_SLOTS = Slots({"ECONOMY": 1, "LARGE": 2, "MEDIUM": 2, "PROMO": 1}, ("LARGE", "MEDIUM", "PROMO"))
 WEEK_SLOTS = Slots(
@@ -29,19 +30,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A scan of few files over all cores, for work that is slow per row; a scan that
-    already has enough partitions is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def money(col: Column | str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast("decimal(18,2)")
 
 
-def picks_total(spark: SparkSession, sf: str) -> DataFrame:
-    """Every order line as a pick of a two-team snake, with its team's total price."""
+def picks(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order line as a pick of a two-team snake, numbered within its order."""
     lines = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("league"),
         F.col("l_partkey").alias("player_id"),
@@ -53,12 +47,24 @@ def picks_total(spark: SparkSession, sf: str) -> DataFrame:
         "l_quantity",
     )
     order = ["l_linenumber", "player_id", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity"]
-    sizes = group_sizes(lines, ["league"])
-    numbered = number_rows(lines, ["league"], [(c, True) for c in order], "pick", sizes)
+    numbered = number_rows(lines, ["league"], [(c, True) for c in order], "pick")
+    numbered = numbered.withColumn("pick", F.col("pick").cast("int"))
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("player_id"), F.col("p_type").alias("pos"))
     rows = numbered.select("league", "pick", pick_owner("pick", 2).alias("team"), "player_id", "price")
-    owned = add_total(rows.join(part, "player_id"), ["league", "team"], "price", "total", sizes)
-    return owned.select("league", "team", "pick", "player_id", "pos", "total")
+    return rows.join(part, "player_id")
+
+
+def picks_total(spark: SparkSession, sf: str) -> DataFrame:
+    """``picks`` with their team's total price: a derived table, since every drill-down
+    starts from it. Sorted by pick within files, so that a filter on picks skips most of them."""
+
+    def build() -> DataFrame:
+        rows = derived_table(spark, "picks", inputs, lambda: picks(spark, sf))
+        owned = add_total(rows, ["league", "team"], "price")
+        return owned.select("league", "team", "pick", "player_id", "pos", "total").sortWithinPartitions("pick", "league")
+
+    inputs = [f"{sf}/lineitem.parquet", f"{sf}/part.parquet"]
+    return derived_table(spark, "picks-total", inputs, build)
 
 
 def player_info(spark: SparkSession, sf: str) -> DataFrame:

@@ -31,10 +31,9 @@ from seasonlab.operators.quality import (
     one_hot_violations,
     short_span_keys,
 )
-from seasonlab.operators.ranking import GroupSizes, best_per_key, group_sizes, nth_best, number_rows, top_n
+from seasonlab.operators.ranking import best_per_key, nth_best, number_rows, top_n
 
 __all__ = [
-    "GroupSizes",
     "add_total",
     "best_per_key",
     "blend_means",
@@ -47,7 +46,6 @@ __all__ = [
     "except_keys",
     "fd_violations",
     "fill_from",
-    "group_sizes",
     "group_sum",
     "join_indicator",
     "join_to_groups",

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seasonlab.operators.joins import join_to_groups
-from seasonlab.operators.ranking import GroupSizes, group_sizes
 
 
 def _known(keys: list[str]) -> Column:
@@ -23,11 +22,8 @@ def group_sum(df: DataFrame, keys: list[str], values: dict[str, str], count: str
     return df.where(_known(keys)).groupBy(*keys).agg(*aggs)
 
 
-def add_total(df: DataFrame, keys: list[str], value: str, name: str = "total", sizes: GroupSizes | None = None) -> DataFrame:
-    """Group total on every row: a window while groups are small, since that keeps a
-    partitioning the rows already have; an aggregate joined back when one is hot."""
-    if not (sizes or group_sizes(df, keys)).hot:
-        return df.withColumn(name, F.sum(value).over(Window.partitionBy(*keys)))
+def add_total(df: DataFrame, keys: list[str], value: str, name: str = "total") -> DataFrame:
+    """Group total on every row: an aggregate, combined before the shuffle, joined back."""
     return join_to_groups(df, df.groupBy(*keys).agg(F.sum(value).alias(name)), keys)
 
 

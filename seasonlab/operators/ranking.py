@@ -3,22 +3,17 @@
 A filter on ``row_number() <= n`` lets Spark cut every group to n rows in each
 map task before the shuffle (WindowGroupLimit), so top-n work does not depend on
 the size of a group. Numbering all rows of a group has no such cut;
-:func:`number_rows` divides the rows into ranges when a group is too large for that.
+:func:`number_rows` cuts the rows into even ranges instead, whatever their number.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seasonlab.session import new_path
-
-HOT_ROWS = 2_000_000  # a group beyond this is divided
-MAX_RANGES = 8192
-GROUP_LIMIT = 1000  # Spark's own bound for cutting groups before the shuffle
+DRAWN_PER_RANGE = 16
 
 Order = list[tuple[str, bool]]  # (column, ascending); nulls rank as the lowest value
 
@@ -29,8 +24,6 @@ def _sort(order: Order) -> list[Column]:
 
 def top_n(df: DataFrame, keys: list[str], order: Order, n: int, name: str = "rn") -> DataFrame:
     """The first n rows of each group with their rank."""
-    if n > GROUP_LIMIT:
-        return number_rows(df, keys, order, name).where(F.col(name) <= n)
     w = Window.partitionBy(*keys).orderBy(*_sort(order))
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= n)
 
@@ -63,53 +56,60 @@ def _rank(df: DataFrame, column: str, asc: bool) -> Column:
     kind = df.schema[column].dataType.simpleString()
     if asc:
         return col.alias(column)
-    if kind in ("string", "boolean", "date") or kind.startswith("timestamp"):
-        raise ValueError(f"descending order needs a number, {column} is {kind}")
-    return F.struct(col.isNull().alias("unknown"), (-col).alias("value")).alias(column)
-
-
-@dataclass(frozen=True)
-class GroupSizes:
-    """Rows of the largest group, at most, and of all groups."""
-
-    largest: int
-    total: int
-
-    @property
-    def hot(self) -> bool:
-        return self.largest > HOT_ROWS
-
-    @property
-    def ranges(self) -> int:
-        return max(2, min(MAX_RANGES, -(-2 * self.total // HOT_ROWS)))
-
-
-def group_sizes(df: DataFrame, keys: list[str]) -> GroupSizes:
-    """Measure groups before choosing how to work on them. Runs one or two jobs.
-
-    A table that is small as a whole, for a scan known from its file footers, has no
-    large group. Otherwise rows are counted per group, combined before the shuffle,
-    and two numbers come back.
+    if kind == "string":  # digits of its bytes turned round; the end sorts after any byte
+        turned = F.translate(F.hex(col), "0123456789ABCDEF", "FEDCBA9876543210")
+        value = F.concat(turned, F.lit("G"))
+    elif kind == "boolean":
+        value = ~col
+    elif kind == "date":
+        value = -F.unix_date(col)
+    elif kind.startswith("timestamp"):
+        value = -F.unix_micros(col.cast("timestamp"))
+    else:
+        value = -col
+    return F.struct(col.isNull().alias("unknown"), value.alias("value")).alias(column)
+
+
+def _count_not_above(cuts: str, key: str, most: int) -> Column:
+    """How many of a sorted array's values are not above the row's key, up to ``most``; binary search."""
+    steps, step = [], 1
+    while step <= most:
+        steps.insert(0, step)
+        step *= 2
+
+    def move(at: Column, s: Column) -> Column:
+        fits = (at + s <= F.size(cuts)) & (F.get(F.col(cuts), at + s - 1) <= F.col(key))
+        return F.when(fits, at + s).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), move)
+
+
+def in_ranges(df: DataFrame, keys: list[str], order: Order, ranges: int | None = None) -> DataFrame:
+    """Rows with the number of their range of (keys, order), column ``_range``.
+
+    The cuts between ranges are every ``DRAWN_PER_RANGE``-th of a sorted sample that a
+    hash of (keys, order) draws from all rows, so they are the same wherever the plan is
+    run, and again if a part of it is lost. Row count and cuts are subqueries of the plan.
     """
-    total = df.count()
-    if total <= HOT_ROWS:
-        return GroupSizes(total, total)
-    return GroupSizes(df.groupBy(*keys).count().agg(F.max("count")).first()[0], total)
-
-
-def number_rows(df: DataFrame, keys: list[str], order: Order, name: str = "rn", sizes: GroupSizes | None = None) -> DataFrame:
-    """``row_number`` of every row, without one task holding a large group.
-
-    While no group is hot this is a plain window. Otherwise the rows are cut into
-    even ranges of (keys, order): rows per group and range are counted, the counts of
-    a group's earlier ranges added up, and rows numbered inside their range. ``order``
-    must be total within a group.
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[_rank(df, c, asc).alias(f"o{i}") for i, (c, asc) in enumerate(order)])
+    keyed = df.withColumn("_key", key)
+    total = df.agg(F.count(F.lit(1))).scalar()
+    drawn = keyed.where(F.pmod(F.xxhash64("_key"), F.lit(2**30)) / 2.0**30 * total < ranges * DRAWN_PER_RANGE)
+    sample = drawn.agg(F.array_sort(F.collect_list("_key")).alias("keys"))
+    cuts = sample.select(F.filter("keys", lambda _, i: i % DRAWN_PER_RANGE == DRAWN_PER_RANGE - 1)).scalar()
+    placed = keyed.withColumn("_cuts", cuts).withColumn("_range", _count_not_above("_cuts", "_key", 2 * ranges))
+    return placed.select(*df.columns, "_range")
+
+
+def number_rows(df: DataFrame, keys: list[str], order: Order, name: str = "rn") -> DataFrame:
+    """``row_number`` (a long) of every row, without one task holding a large group.
+
+    The rows are cut into even ranges of (keys, order): rows per group and range are
+    counted, the counts of a group's earlier ranges added up, and rows numbered inside
+    their range. ``order`` must be total within a group.
     """
-    sizes = sizes or group_sizes(df, keys)
-    if not sizes.hot:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*_sort(order))))
-
-    rows = in_ranges(df, keys, order, sizes.ranges)
+    rows = in_ranges(df, keys, order)
     counts = rows.groupBy(*keys, "_range").count()
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
@@ -120,17 +120,4 @@ def number_rows(df: DataFrame, keys: list[str], order: Order, name: str = "rn",
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
     joined = rows.join(starts, same & (F.col("_range") == F.col("_r")))
     inside = Window.partitionBy(*keys, "_range").orderBy(*_sort(order))
-    number = (F.row_number().over(inside) + F.col("_before")).cast("int" if sizes.largest < 2**31 else "long")
-    return joined.withColumn(name, number).select(*df.columns, name)
-
-
-def in_ranges(df: DataFrame, keys: list[str], order: Order, ranges: int) -> DataFrame:
-    """Rows with the number of their range of (keys, order), as a written table.
-
-    Spark picks the cuts from a sample of its own. Writing the rows down makes sure
-    that everything built on the ranges sees the same cuts, also after a lost executor.
-    """
-    path = new_path(df.sparkSession, "ranges")
-    ranged = df.repartitionByRange(ranges, *[F.col(k) for k in keys], *_sort(order))
-    ranged.withColumn("_range", F.spark_partition_id()).write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return joined.withColumn(name, F.row_number().over(inside) + F.col("_before")).select(*df.columns, name)

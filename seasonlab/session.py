@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int = 8, app: str = "seasonlab", **conf: str) -> SparkSession:
@@ -46,3 +48,39 @@ def shared_folder(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no earlier run has used."""
     return f"{shared_folder(spark)}/seasonlab/{name}-{uuid.uuid4().hex}"
+
+
+_derived: dict[tuple, str] = {}
+
+
+def _version(spark: SparkSession, path: str) -> tuple:
+    """What tells one state of a stored table from another: its files, sizes and times."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at)
+    return tuple((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files)
+
+
+def derived_table(spark: SparkSession, name: str, inputs: list[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """A table that queries share: written by the first that needs it, then read.
+
+    It is built again when the files of an input have changed. The session owns it:
+    :func:`drop_derived` removes all of them, at the latest when Python ends.
+    """
+    key = (spark.sparkContext.applicationId, name, *(_version(spark, p) for p in inputs))
+    if key not in _derived:
+        path = new_path(spark, name)
+        build().write.parquet(path)
+        if not _derived:
+            atexit.register(drop_derived, spark)
+        _derived[key] = path
+    return spark.read.parquet(_derived[key])
+
+
+def drop_derived(spark: SparkSession) -> None:
+    """Remove the derived tables of the session."""
+    if spark.sparkContext._jsc is None:  # stopped
+        return
+    for key, path in [kp for kp in _derived.items() if kp[0][0] == spark.sparkContext.applicationId]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        del _derived[key]

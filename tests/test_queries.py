@@ -5,8 +5,8 @@ from conftest import SMALL
 from oracle import compare, connect
 from skewed import write_skewed
 
-import seasonlab.operators.ranking as ranking
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from seasonlab.catalog import ORACLES, QUERIES
 
 MODELS = {"fit_poly_lasso", "two_stage_fit", "degree_sweep", "models_by_group"}
 
@@ -23,10 +23,10 @@ def skewed(tmp_path_factory):
 
 
 def test_what_has_no_sql():
-    assert set(queries()) - set(oracle_sql()) == MODELS
+    assert set(QUERIES) - set(ORACLES) == MODELS and set(QUERIES) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, given, name):
     folder, con = given
     assert compare(spark, con, name, folder) is None
@@ -52,8 +52,7 @@ HOT_KEYED = [
 
 
 @pytest.mark.parametrize("name", HOT_KEYED)
-def test_query_equals_sql_with_a_hot_key(spark, skewed, name, monkeypatch):
-    monkeypatch.setattr(ranking, "HOT_ROWS", 100)
+def test_query_equals_sql_with_a_hot_key(spark, skewed, name):
     folder, con = skewed
     assert compare(spark, con, name, folder) is None
 
