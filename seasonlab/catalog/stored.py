@@ -17,6 +17,7 @@ from seasonlab.sources import (
     read_csv,
     read_csv_years,
     read_tables,
+    table_counts,
     write_csv,
 )
 
@@ -53,7 +54,7 @@ def append_sink(spark: SparkSession, sf: str) -> DataFrame:
     """Two appends to a partitioned table."""
     path = new_path(spark, "events-appended")
     events = table(spark, sf, "events").select("event_id", "user_id", "value", "event_type")
-    viewed = F.col("event_type").isin("view", "click")
+    viewed = F.coalesce(F.col("event_type").isin("view", "click"), F.lit(False))
     append_table(events.where(viewed), path, ["event_type"])
     append_table(events.where(~viewed), path, ["event_type"])
     return read_tables(spark, path)
@@ -70,11 +71,14 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return ingest_new(spark, events.where(day >= 10).select(*columns), path, ["event_id"])
 
 
+DECODED = "replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
+
+
 @query(
-    """SELECT page_id, CAST(place - 1 AS INT) AS place, hrefs[place] AS href, labels[place] AS label FROM (
-  SELECT page_id, hrefs, labels, unnest(generate_series(1, len(hrefs))) AS place FROM (
-    SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS hrefs,
-      regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS labels FROM pages))"""
+    f"""SELECT page_id, CAST(place - 2 AS INT) AS place, {DECODED.format("split_part(split_part(part, 'href=\"', 2), '\"', 1)")} AS href,
+  {DECODED.format("substr(split_part(part, '</a>', 1), strpos(part, '>') + 1)")} AS label
+FROM (SELECT page_id, parts[place] AS part, place FROM (SELECT page_id, parts, unnest(generate_series(2, len(parts))) AS place
+  FROM (SELECT page_id, string_split(html, '<a ') AS parts FROM pages)))"""
 )
 def html_links(spark: SparkSession, sf: str) -> DataFrame:
     return page_links(table(spark, sf, "pages"))
@@ -89,7 +93,7 @@ def order_pages(spark: SparkSession, sf: str) -> DataFrame:
     head = "<tr>" + "".join(f"<th>{c}</th>" for c in TABLE_COLUMNS) + "</tr>"
     customer, price = F.col("o_custkey").cast("string"), F.col("o_totalprice").cast("string")
     html = F.concat(
-        F.lit(f"<html><table id='nav'><tr><td>menu</td></tr></table><table id='stats'>{head}<tr><td>1</td><td data-append-csv='c"),
+        F.lit(f"<html><table id='nav'><tr><td>menu</td></tr></table><table id='stats'><tr><th colspan=4>Orders</th></tr>{head}<tr><td>1</td><td data-append-csv='c"),
         customer,
         F.lit("'><a href='/c'>Customer &amp; "),
         customer,
@@ -101,19 +105,24 @@ def order_pages(spark: SparkSession, sf: str) -> DataFrame:
         price,
         F.lit("</td><td>"),
         "o_orderpriority",
-        F.lit("</td></tr></table></html>"),
+        F.lit("</td><td colspan=2>more</td></tr></table></html>"),
     )
     return orders.select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
 
 
 @query(
     """SELECT o_orderkey AS page_id, 0 AS place, concat('c', o_custkey) AS ref, '1' AS "Rk", concat('Customer & ', o_custkey) AS "Customer",
-  o_totalprice AS "Total", 'x < y' AS "Priority" FROM orders
-UNION ALL SELECT o_orderkey, 1, concat('s', o_orderstatus), '2', 'second', o_totalprice, o_orderpriority FROM orders"""
+  o_totalprice AS "Total", 'x < y' AS "Priority", 0 AS extra FROM orders
+UNION ALL SELECT o_orderkey, 1, concat('s', o_orderstatus), '2', 'second', o_totalprice, o_orderpriority, 2 FROM orders"""
 )
 def html_tables(spark: SparkSession, sf: str) -> DataFrame:
     rows = page_tables(order_pages(spark, sf), "stats", TABLE_COLUMNS)
-    return rows.withColumn("Total", F.col("Total").cast("double"))
+    return rows.withColumns({"Total": F.col("Total").cast("double"), "extra": F.coalesce(F.size("extra"), F.lit(0))})
+
+
+@query("SELECT o_orderkey AS page_id, 1 AS n FROM orders")
+def html_table_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return table_counts(order_pages(spark, sf), "stats")
 
 
 @query(

@@ -8,7 +8,7 @@ from seasonlab.sources.files import (
     read_tables,
     write_csv,
 )
-from seasonlab.sources.html import page_links, page_tables
+from seasonlab.sources.html import page_links, page_tables, table_counts
 
 __all__ = [
     "append_table",
@@ -16,6 +16,7 @@ __all__ = [
     "overwrite_table",
     "page_links",
     "page_tables",
+    "table_counts",
     "read_by_suffix",
     "read_csv",
     "read_csv_years",

@@ -10,86 +10,158 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+class _LinkReader(HTMLParser):
+    """Collects address and text of every link, whatever its other attributes and markup."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.links: list[list[str]] = []
+        self.open = False
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "a":
+            href = dict(attrs).get("href")
+            self.open = href is not None
+            if self.open:
+                self.links.append([href, ""])
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag == "a":
+            self.open = False
+
+    def handle_data(self, data: str) -> None:
+        if self.open:
+            self.links[-1][1] += data
+
+
 def page_links(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Address and text of every plain link, in page order."""
-    pattern = r'<a href="([^"]*)">([^<]*)</a>'
-    found = F.arrays_zip(
-        F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1)).alias("href"),
-        F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(2)).alias("label"),
-    )
-    rows = pages.select(key, F.posexplode(found).alias("place", "link"))
-    return rows.select(key, "place", F.col("link.href").alias("href"), F.col("link.label").alias("label"))
+    """Address and text of every link, in page order."""
+    kind = pages.schema[key].dataType.simpleString()
 
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for page, text in zip(batch["page"], batch["html"]):
+                reader = _LinkReader()
+                reader.feed(text or "")
+                reader.close()
+                out += [(page, place, *link) for place, link in enumerate(reader.links)]
+            yield pd.DataFrame(out, columns=["page", "place", "href", "label"])
 
-class _TableEnd(Exception):
-    """The table has been read; the rest of the page is not needed."""
+    rows = pages.select(F.col(key).alias("page"), F.col(html).alias("html"))
+    return rows.mapInPandas(read, f"page {kind}, place int, href string, label string").withColumnRenamed("page", key)
 
 
 class _TableReader(HTMLParser):
-    """Collects cell texts and the marker attribute per row of the first table with an id."""
+    """Collects the rows of the first table with an id, and counts the tables that have it.
+
+    A row is its cells, the marker attribute and whether it has header cells alone. A cell
+    that spans columns or rows stands in each of them.
+    """
 
     def __init__(self, table_id: str, marker: str) -> None:
         super().__init__()
         self.table_id, self.marker = table_id, marker
-        self.depth, self.in_cell = 0, False
-        self.rows: list[tuple[list[str], str | None]] = []
+        self.tables, self.depth, self.cell = 0, 0, False
+        self.rows: list[list] = []
+        self.below: dict[int, tuple[int, list]] = {}  # place: rows still to come, text
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         values = dict(attrs)
-        if tag == "table" and (self.depth or values.get("id") == self.table_id):
-            self.depth += 1
+        if tag == "table":
+            if self.depth:
+                self.depth += 1
+            elif values.get("id") == self.table_id:
+                self.tables += 1
+                self.depth = int(self.tables == 1)
         elif self.depth == 1 and tag == "tr":
-            self.rows.append(([], None))
-            self.in_cell = False
+            self._end_row()
+            self.rows.append([[], None, True])
+            self._spanned()
         elif self.depth == 1 and tag in ("td", "th") and self.rows:
-            cells, mark = self.rows[-1]
-            cells.append("")
-            self.rows[-1] = (cells, mark or values.get(self.marker))
-            self.in_cell = True
+            row = self.rows[-1]
+            text = [""]
+            for _ in range(_span(values.get("colspan"))):
+                if (down := _span(values.get("rowspan")) - 1) > 0:
+                    self.below[len(row[0])] = (down, text)
+                row[0].append(text)
+            row[1] = row[1] or values.get(self.marker)
+            row[2] = row[2] and tag == "th"
+            self.cell = True
+
+    def _spanned(self) -> None:
+        """Cells that reach into the row at its end so far."""
+        cells = self.rows[-1][0]
+        while (found := self.below.pop(len(cells), None)) is not None:
+            down, text = found
+            if down > 1:
+                self.below[len(cells)] = (down - 1, text)
+            cells.append(text)
+
+    def _end_row(self) -> None:
+        self.cell = False
+        if self.rows:
+            self._spanned()
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "table" and self.depth:
             self.depth -= 1
-            if not self.depth:
-                raise _TableEnd
-        elif self.depth == 1 and tag in ("td", "th", "tr"):
-            self.in_cell = False
+        elif self.depth == 1 and tag in ("td", "th"):
+            self.cell = False
+            self._spanned()
+        elif self.depth == 1 and tag == "tr":
+            self._end_row()
 
     def handle_data(self, data: str) -> None:
-        if self.in_cell and self.depth == 1:
-            self.rows[-1][0][-1] += data
+        if self.cell and self.depth == 1:
+            self.rows[-1][0][-1][0] += data
 
 
-def _table_rows(text: str, table_id: str, marker: str) -> list[tuple[list[str], str | None]]:
+def _span(value: str | None) -> int:
+    return max(1, int(value)) if value and value.isdigit() else 1
+
+
+def _read_table(text: str | None, table_id: str, marker: str) -> _TableReader:
     reader = _TableReader(table_id, marker)
-    try:
-        reader.feed(text)
-        reader.close()
-    except _TableEnd:
-        pass
-    return reader.rows
+    reader.feed(text or "")
+    reader.close()
+    return reader
+
+
+def table_counts(pages: DataFrame, table_id: str, key: str = "page_id", html: str = "html") -> DataFrame:
+    """How many tables with the given id each page has; a well-formed page has one."""
+    kind = pages.schema[key].dataType.simpleString()
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            n = [_read_table(text, table_id, "").tables for text in batch["html"]]
+            yield pd.DataFrame({"page": batch["page"], "n": n})
+
+    rows = pages.select(F.col(key).alias("page"), F.col(html).alias("html"))
+    return rows.mapInPandas(count, f"page {kind}, n int").withColumnRenamed("page", key)
 
 
 def page_tables(pages: DataFrame, table_id: str, columns: list[str], key: str = "page_id", html: str = "html", marker: str = "data-append-csv") -> DataFrame:
     """Rows of the table with the given id on every page, as text, with the value of
-    the marker attribute. Header rows, also repeated ones, are dropped."""
+    the marker attribute. Rows of header cells alone are dropped, as is a repeated
+    header; cells beyond the declared columns are in the array ``extra``."""
     kind = pages.schema[key].dataType.simpleString()
-    schema = ", ".join([f"page {kind}", "place int", "ref string", *[f"`{c}` string" for c in columns]])
-    header = list(columns)
+    schema = ", ".join([f"page {kind}", "place int", "ref string", *[f"`{c}` string" for c in columns], "extra array<string>"])
+    header, width = list(columns), len(columns)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for page, text in zip(batch["page"], batch["html"]):
                 place = 0
-                for cells, ref in _table_rows(text or "", table_id, marker):
-                    cells = [c.strip() for c in cells]
-                    if not cells or cells == header:
+                for cells, ref, headers_only in _read_table(text, table_id, marker).rows:
+                    cells = [c[0].strip() for c in cells]
+                    if not cells or headers_only or cells == header:
                         continue
-                    padded = (cells + [None] * len(header))[: len(header)]
-                    out.append((page, place, ref, *padded))
+                    padded = cells[:width] + [None] * (width - len(cells))
+                    out.append((page, place, ref, *padded, cells[width:] or None))
                     place += 1
-            yield pd.DataFrame(out, columns=["page", "place", "ref", *header])
+            yield pd.DataFrame(out, columns=["page", "place", "ref", *header, "extra"])
 
     rows = pages.select(F.col(key).alias("page"), F.col(html).alias("html"))
     return rows.mapInPandas(read, schema).withColumnRenamed("page", key)

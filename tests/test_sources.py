@@ -10,6 +10,7 @@ from seasonlab.sources import (
     overwrite_table,
     page_links,
     page_tables,
+    table_counts,
     read_by_suffix,
     read_csv,
     read_csv_years,
@@ -111,9 +112,30 @@ def test_tables_from_pages(rows):
     pages = rows([(7, PAGE), (8, "<p>none</p>"), (9, None)], "page_id long, html string")
     out = page_tables(pages, "stats", ["Rk", "Player", "Pts"])
     assert values(out) == [
-        (7, 0, "MahoPa00", "1", "Patrick Mahomes", "25.1"),
-        (7, 1, "KelcTr00", "2", "T. Kelce & co", None),
+        (7, 0, "MahoPa00", "1", "Patrick Mahomes", "25.1", None),
+        (7, 1, "KelcTr00", "2", "T. Kelce & co", None, None),
     ]
+    assert values(table_counts(pages, "stats")) == [(7, 1), (8, 0), (9, 0)]
+
+
+def test_cells_beyond_the_columns_and_spans(rows):
+    page = """<table id="t"><tr><th></th><th colspan="2">Games</th></tr><tr><th>Rk</th><th>A</th><th>B</th></tr>
+<tr><td rowspan="2">1<td colspan=2>x<td>lost</tr><tr><td>y</td><td>z</td></tr><tr><th>2</th><td>r</td></tr></table><table id="t"></table>"""
+    pages = rows([(1, page)], "page_id long, html string")
+    assert values(page_tables(pages, "t", ["Rk", "A"])) == [
+        (1, 0, None, "1", "x", ["x", "lost"]),
+        (1, 1, None, "1", "y", ["z"]),
+        (1, 2, None, "2", "r", None),
+    ]
+    assert values(table_counts(pages, "t")) == [(1, 2)]
+
+
+def test_append_keeps_rows_without_a_type(spark, tmp_path):
+    from seasonlab.catalog import QUERIES
+
+    events = spark.createDataFrame([(1, 1, 1.0, "view"), (2, 2, 2.0, None), (3, 3, 3.0, "error")], "event_id long, user_id long, value double, event_type string")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    assert values(QUERIES["append_sink"](spark, str(tmp_path)).select("event_id", "event_type")) == [(1, "view"), (2, None), (3, "error")]
 
 
 def test_pages_without_the_table_and_text_keys(rows):
@@ -123,8 +145,9 @@ def test_pages_without_the_table_and_text_keys(rows):
 
 
 def test_links_from_pages(rows):
-    pages = rows([(1, '<a href="/x">X</a> <a class="c" href="/n">n</a><a href="/y"></a>'), (2, "")], "page_id long, html string")
-    assert values(page_links(pages)) == [(1, 0, "/x", "X"), (1, 1, "/y", "")]
+    page = """<a href="/x">X</a> <a class="c" href='/n'>n <b>m</b></a><A HREF=/y></A><a name="z">no</a><a href="/q?a=1&amp;b">&lt;q"""
+    pages = rows([(1, page), (2, ""), (3, None)], "page_id long, html string")
+    assert values(page_links(pages)) == [(1, 0, "/x", "X"), (1, 1, "/n", "n m"), (1, 2, "/y", ""), (1, 3, "/q?a=1&b", "<q")]
 
 
 def test_dimension_joins_are_not_hinted():
