@@ -1,72 +1,125 @@
-"""Regressions on the season table and on roster profiles. No SQL says the same."""
+"""Regressions on the season table and on roster profiles.
+
+SQL can say an unpenalised line and the quality of given predictions; not the penalised fits.
+Times are in the logs that :mod:`seasonlab.plans.regression` makes, not in the results
+of queries, which are the same in every run.
+"""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonlab.catalog import views
-from seasonlab.catalog.profiles import BY, POSITIONS, profile_set
+from seasonlab.catalog.profiles import BY, POSITIONS, usable_set
 from seasonlab.catalog.registry import query
 from seasonlab.catalog.seasons import staged
+from seasonlab.functions import amount
+from seasonlab.operators import r2
 from seasonlab.plans import profile as profiles
 from seasonlab.plans import regression as ml
 from seasonlab.plans.season import add_final_fields, final_limits
-from seasonlab.session import new_path
+from seasonlab.session import derived_table, new_path
 
 SEASON_FEATURES = ["age", "adj_year", "drafted", "group_total", "group_size", "adp", "rookie", "yrs", *views.SEGMENTS]
 TWO_STARTERS = ["LARGE", "MEDIUM"]
 
 
+ALL_POSITIONS = [*POSITIONS, "FLEX"]
+
+
 def complete_profiles(spark: SparkSession, sf: str) -> DataFrame:
-    """Profiles of groups that have all their starters, with a known outcome."""
-    return profile_set(spark, sf).where((F.col("num_others") >= 0) & F.col("pts").isNotNull())
+    """Profiles of the leagues in which every team has its starters, with a known outcome:
+    a derived table, since every fit reads it several times. The outcome of the flex slot
+    is what the team shipped of types that have no slot of their own."""
+
+    def build() -> DataFrame:
+        spare = views.outcomes(spark, sf).where(~F.col("pos").isin(POSITIONS))
+        spare = spare.groupBy(*BY).agg(F.sum(amount("pts")).cast("double").alias("_spare"))
+        rows = usable_set(spark, sf).join(spare, BY, "left")
+        rows = rows.withColumn("pts", F.when(F.col("pos") == "FLEX", F.col("_spare")).otherwise(F.col("pts")))
+        return rows.where(F.col("pts").isNotNull()).drop("_spare")
+
+    return derived_table(spark, "profiles", [f"{sf}/{t}.parquet" for t in ("lineitem", "part")], build)
 
 
 @query()
 def fit_poly_lasso(spark: SparkSession, sf: str) -> DataFrame:
-    """Outcome of a roster position from its profile, degree 2."""
-    rows = complete_profiles(spark, sf).where(F.col("pos") == "LARGE").persist()
-    fit = ml.fit_split(rows, "pts", ml.group_features("LARGE", TWO_STARTERS), BY, 2)
-    rows.unpersist()
-    return ml.log_row(spark, "LARGE", "profile of one position", 2, fit, "LARGE")
+    """Outcome of each roster position from its profile, degree 2."""
+    fits = ml.models_by_group(complete_profiles(spark, sf), "pts", ALL_POSITIONS, TWO_STARTERS, BY, 2)
+    rows = [ml.log_row(spark, p, "profile of one position", 2, fit, p) for p, fit in fits.items()]
+    return reduce(DataFrame.unionByName, rows).drop("TimeToFinish")
+
+
+@query(
+    """SELECT CAST(count(*) AS BIGINT) AS teams, round(regr_slope(pts, final_pred_points), 6) AS slope,
+  round(regr_intercept(pts, final_pred_points), 3) AS intercept, round(regr_r2(pts, final_pred_points), 6) AS r2
+FROM (SELECT league, team, CAST(sum(pts) AS DOUBLE) AS pts, CAST(sum(CAST(a_pred_points AS DECIMAL(18,2)))
+  + sum(CASE WHEN pos IN ('LARGE', 'MEDIUM') THEN CAST(b_pred_points AS DECIMAL(18,2)) END) AS DOUBLE) AS final_pred_points FROM usable_set GROUP BY 1, 2)""",
+    "usable_set",
+)
+def line_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """Unpenalised line through the team outcomes by their starters' predicted points."""
+    rows = profiles.starter_points(usable_set(spark, sf), BY, "pts", tuple(TWO_STARTERS))
+    teams = rows.count()
+    slope = intercept = None  # as in SQL, nothing is told by no rows
+    if teams:
+        vectors = VectorAssembler(inputCols=["final_pred_points"], outputCol="_features").transform(rows)
+        line = LinearRegression(featuresCol="_features", labelCol="pts", solver="normal").fit(vectors)
+        slope, intercept = float(line.coefficients[0]), float(line.intercept)
+    slope, intercept = (F.lit(v).cast("double") for v in (slope, intercept))
+    found = rows.select("pts", (intercept + slope * F.col("final_pred_points")).alias("prediction"))
+    return r2(found, "pts", "prediction").select(
+        F.lit(teams).cast("long").alias("teams"),
+        F.round(slope, 6).alias("slope"),
+        F.round(intercept, 3).alias("intercept"),
+        F.round("r2", 6).alias("r2"),
+    )
 
 
 @query()
 def two_stage_fit(spark: SparkSession, sf: str) -> DataFrame:
     """Season points and their variance for every entity-season."""
-    rows = add_final_fields(staged(spark, sf), views.BASE_YEAR)
-    train = final_limits(staged(spark, sf), views.BASE_YEAR, views.PREDICT).persist()
-    scored, _, _ = ml.two_stage_fit(train, rows, "pts", SEASON_FEATURES, "adp", ["player_id", "season"], (3, 2))
-    train.unpersist()
+    inputs = [f"{sf}/{t}.parquet" for t in ("orders", "customer")]
+    stage = derived_table(spark, "staged", inputs, lambda: staged(spark, sf))
+    train = final_limits(stage, views.BASE_YEAR, views.PREDICT)
+    scored, _, _ = ml.two_stage_fit(train, add_final_fields(stage, views.BASE_YEAR), "pts", SEASON_FEATURES, "adp", ["player_id", "season"], (3, 2))
     return scored.select("player_id", "season", "adp", "pred", "var", "var2", "var_pred")
 
 
 @query()
 def degree_sweep(spark: SparkSession, sf: str) -> DataFrame:
     """Starter, one-line and simple feature sets at several degrees, as a results log."""
-    rows = complete_profiles(spark, sf).persist()
+    rows = complete_profiles(spark, sf)
     starter = profiles.starter_points(rows, BY, "pts", tuple(TWO_STARTERS))
     line = profiles.pivot_features(rows, BY, "pts", views.PICK_SLOTS)
     simple = profiles.pivot_stats(rows, BY, "pts", POSITIONS)
     sets = {
         "Starter": ("predicted points of starters", starter, ["final_pred_points"], (1, 2, 3)),
-        "OneLine": ("all profile measures in one row", line, [c for c in line.columns if c not in (*BY, "pts")], (1, 2)),
+        "OneLine": ("all profile measures in one row", line, [c for c in line.columns if c not in (*BY, "pts")], (1, 2, 3)),
         "Simple": ("average and spread per position", simple, [c for c in simple.columns if c not in (*BY, "pts")], (1, 2)),
     }
     log, _ = ml.degree_sweep(spark, sets, "pts", BY)
-    rows.unpersist()
-    return log
+    return log.drop("TimeToFinish")
+
+
+@query()
+def position_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    """Every position at degrees 1 to 3, and the test teams' sums, as a results log."""
+    log, _ = ml.position_sweep(spark, complete_profiles(spark, sf), "pts", ALL_POSITIONS, TWO_STARTERS, BY)
+    return log.drop("TimeToFinish")
 
 
 @query()
 def models_by_group(spark: SparkSession, sf: str) -> DataFrame:
     """A model per position, saved, loaded again and added up to team totals."""
-    rows = complete_profiles(spark, sf).persist()
-    fits = ml.models_by_group(rows, "pts", POSITIONS, TWO_STARTERS, BY, 1)
+    rows = complete_profiles(spark, sf)
+    fits = ml.models_by_group(rows, "pts", ALL_POSITIONS, TWO_STARTERS, BY, 1)
     folder = new_path(spark, "position-models")
     ml.save_models({p: f.model for p, f in fits.items()}, folder)
-    models = ml.load_models(folder, POSITIONS)
-    totals = profiles.score_teams(rows, ml.group_predictor(models), BY)
-    rows.unpersist()
-    return totals
+    models = ml.load_models(folder, ALL_POSITIONS)
+    return profiles.score_teams(rows, ml.group_predictor(models), BY)

@@ -23,7 +23,6 @@ from seasonlab.plans.sampling import train_test
 
 FOLDS = 5
 ALPHAS = 100
-PATIENCE = 10
 ALPHA_SPAN = 1e-3  # smallest penalty tried, as a share of the largest useful one
 
 LOG_SCHEMA = "Name string, Description string, Model string, TimeToFinish double, TrainR2 double, TestR2 double, Position string"
@@ -60,8 +59,9 @@ def numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def moments(prepared: DataFrame, y: str, folds: int) -> list[np.ndarray]:
     """Per fold, the sums of products of (1, outcome, features).
 
-    Every row is read once. What comes back has one row and column per feature,
-    whatever the number of rows.
+    One job per fold over its own rows of the stored features, so that every row is
+    added up once. What comes back has one row and column per feature, whatever the
+    number of rows.
     """
     wide = VectorAssembler(inputCols=["_one", y, "_features"], outputCol="_v").transform(
         prepared.withColumn("_one", F.lit(1.0))
@@ -84,35 +84,42 @@ def centred(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return cov[1:, 1:], cov[1:, 0], means
 
 
-def shrink(cov: np.ndarray, by_y: np.ndarray, alpha: float, w: np.ndarray, tolerance: float = 1e-3, sweeps: int = 500) -> np.ndarray:
+def shrink(cov: np.ndarray, by_y: np.ndarray, alpha: float, w: np.ndarray, tolerance: float = 1e-6, most: int = 20_000) -> np.ndarray:
     """Weights for one penalty from the feature covariances, starting at ``w``.
 
-    Coordinate-wise minimisation. Only features in use are swept; after they settle,
-    those whose pull exceeds the penalty join in. Settled means that no update moves
-    a pull by more than a small part of the penalty.
+    The weights in use, with their signs, solve a linear system; one that would change
+    its sign leaves, then the feature whose pull exceeds the penalty most joins in.
+    Raises if that has not settled after ``most`` steps.
     """
-    spread = np.diag(cov)
-    usable = spread > 1e-12
-    w, pull, limit = w.copy(), by_y - cov @ w, tolerance * alpha
-    for _ in range(sweeps):
-        joining = usable & (w == 0) & (np.abs(pull) > alpha + limit)
-        active = np.flatnonzero(usable & ((w != 0) | joining))
-        for _ in range(sweeps):
-            largest = 0.0
-            for j in active:
-                target = pull[j] + spread[j] * w[j]
-                excess = abs(target) - alpha
-                new = 0.0 if excess <= 0 else (excess if target > 0 else -excess) / spread[j]
-                change = new - w[j]
-                if change:
-                    w[j] = new
-                    pull -= change * cov[j]
-                    largest = max(largest, abs(change) * spread[j])
-            if largest <= limit:
-                break
-        if not joining.any():
-            break
-    return w
+    usable = np.diag(cov) > 1e-12
+    limit = alpha * (1 + tolerance) + 1e-12 * np.abs(by_y).max(initial=0.0)
+    w, signs = w.copy(), np.sign(w)
+    active = list(np.flatnonzero(w))
+    for _ in range(most):
+        if active:
+            inner = cov[np.ix_(active, active)]
+            inner = inner + np.diag(1e-10 * np.diag(inner))
+            new = np.linalg.solve(inner, by_y[active] - alpha * signs[active])
+            old = w[active]
+            crossing = new * signs[active] < 0
+            if crossing.any():
+                share = old / np.where(old == new, 1.0, old - new)
+                share[~crossing] = np.inf
+                first = int(np.argmin(share))
+                w[active] = old + max(0.0, float(share[first])) * (new - old)
+                gone = active.pop(first)
+                w[gone] = signs[gone] = 0.0
+                continue
+            w[active] = new
+        pull = by_y - cov[:, active] @ w[active]
+        over = np.where(usable, np.abs(pull), 0.0)
+        over[active] = 0.0
+        joining = int(np.argmax(over))
+        if over[joining] <= limit:
+            return w
+        active.append(joining)
+        signs[joining] = np.sign(pull[joining])
+    raise RuntimeError(f"weights for penalty {alpha} have not settled after {most} steps")
 
 
 def squared_error(sums: np.ndarray, w: np.ndarray, intercept: float) -> float:
@@ -121,12 +128,12 @@ def squared_error(sums: np.ndarray, w: np.ndarray, intercept: float) -> float:
     return float(v @ sums @ v) / sums[0, 0]
 
 
-def choose_penalty(prepared: DataFrame, y: str, folds: int = FOLDS, count: int = ALPHAS, patience: int = PATIENCE) -> float:
+def choose_penalty(prepared: DataFrame, y: str, folds: int = FOLDS, count: int = ALPHAS) -> float:
     """Penalty with the lowest cross-validated error on a falling log grid.
 
-    Sums of a training part are the total less the held-out fold, so all folds and
-    penalties come out of one pass over the rows. The search ends when the error has
-    not improved for ``patience`` penalties.
+    Sums of a training part are the total less the held-out fold, so all folds and all
+    penalties come out of the sums of products; a fit by Spark for each of them would
+    read the rows five hundred times.
     """
     by_fold = [m for m in moments(prepared, y, folds) if m[0, 0] > 0]
     total = np.sum(by_fold, axis=0)
@@ -134,21 +141,18 @@ def choose_penalty(prepared: DataFrame, y: str, folds: int = FOLDS, count: int =
     size_of_y = np.sqrt(total[1, 1] / total[0, 0])
     if top <= 1e-12 * size_of_y or len(by_fold) < 2:
         return 0.0
-    parts = [centred(total - held) for held in by_fold]
-    weights = [np.zeros(len(by_y)) for _, by_y, _ in parts]
-    best, best_error, since = top, np.inf, 0
-    for alpha in top * np.logspace(0, np.log10(ALPHA_SPAN), count):
-        error = 0.0
-        for i, ((cov, by_y, means), held) in enumerate(zip(parts, by_fold)):
-            weights[i] = shrink(cov, by_y, alpha, weights[i])
-            error += squared_error(held, weights[i], means[0] - means[1:] @ weights[i])
-        if error < best_error:
-            best, best_error, since = alpha, error, 0
-        else:
-            since += 1
-        if since >= patience:
-            break
-    return float(best)
+    grid = top * np.logspace(0, np.log10(ALPHA_SPAN), count)
+
+    def errors(held: np.ndarray) -> np.ndarray:
+        cov, by_y, means = centred(total - held)
+        w, out = np.zeros(len(by_y)), []
+        for alpha in grid:
+            w = shrink(cov, by_y, alpha, w)
+            out.append(squared_error(held, w, means[0] - means[1:] @ w))
+        return np.array(out)
+
+    with ThreadPoolExecutor(len(by_fold)) as pool:
+        return float(grid[np.sum(list(pool.map(errors, by_fold)), axis=0).argmin()])
 
 
 def fit_poly_lasso(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str], degree: int = 2, folds: int = FOLDS, alphas: int = ALPHAS, prediction: str = "prediction") -> Fit:
@@ -260,6 +264,27 @@ def models_by_group(df: DataFrame, y: str, positions: Sequence[str], two_starter
     return fits
 
 
+def position_sweep(spark: SparkSession, df: DataFrame, y: str, positions: Sequence[str], two_starters: Sequence[str], identifiers: list[str], degrees: Sequence[int] = (1, 2, 3), **options) -> tuple[DataFrame, dict[int, dict[str, Fit]]]:
+    """Models of every position at every degree, as a results log.
+
+    Each degree closes with a row for the test teams' sums over all positions.
+    """
+    name, what = "ByPositionLinear", "a regression on each position"
+    df = df.persist()
+    try:
+        rows, fits = [], {}
+        test = train_test(df, identifiers)[1]
+        for degree in degrees:
+            fits[degree] = models_by_group(df, y, positions, two_starters, identifiers, degree, **options)
+            rows += [log_row(spark, name, what, degree, fit, p) for p, fit in fits[degree].items()]
+            r2_of_sums = overall_r2(test, {p: f.model for p, f in fits[degree].items()}, y, identifiers).first()["r2"]
+            total = spark.createDataFrame([(name, "sums of the positions", f"lasso_poly{degree}", None, None, r2_of_sums, "Aggregated")], LOG_SCHEMA)
+            rows.append(total)
+        return reduce(DataFrame.unionByName, rows), fits
+    finally:
+        df.unpersist()
+
+
 def group_predictor(models: dict[str, PipelineModel], pos: str = "pos") -> Callable[[DataFrame], DataFrame]:
     """A function that adds each row's prediction by its position's model."""
 

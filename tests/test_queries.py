@@ -8,7 +8,8 @@ from skewed import write_skewed
 from __spark_entry__ import entry, queries
 from seasonlab.catalog import ORACLES, QUERIES
 
-MODELS = {"fit_poly_lasso", "two_stage_fit", "degree_sweep", "models_by_group"}
+MODELS = {"fit_poly_lasso", "two_stage_fit", "degree_sweep", "position_sweep", "models_by_group"}
+MODEL_DATA = "/root/testdata/sf0.01"  # the smallest tables in which leagues have all their starters
 
 
 @pytest.fixture(scope="module")
@@ -57,9 +58,31 @@ def test_query_equals_sql_with_a_hot_key(spark, skewed, name):
     assert compare(spark, con, name, folder) is None
 
 
-@pytest.mark.parametrize("name", sorted(MODELS))
-def test_model_queries_give_rows(spark, name):
-    assert queries()[name](spark, SMALL).count() > 0
+def test_line_fit_equals_sql(spark):
+    assert compare(spark, connect(MODEL_DATA), "line_fit", MODEL_DATA) is None
+
+
+def test_sweeps_have_all_their_rows(spark):
+    log = queries()["degree_sweep"](spark, MODEL_DATA).collect()
+    assert [(r.Name, r.Model[-1]) for r in log] == [("Starter", "1"), ("Starter", "2"), ("Starter", "3"), ("OneLine", "1"), ("OneLine", "2"), ("OneLine", "3"), ("Simple", "1"), ("Simple", "2")]
+    log = queries()["position_sweep"](spark, MODEL_DATA).collect()
+    assert len(log) == 18 and [r.Position for r in log].count("Aggregated") == 3
+    assert queries()["fit_poly_lasso"](spark, MODEL_DATA).count() == 5
+
+
+def test_team_totals_have_all_positions(spark):
+    teams = queries()["starter_points"](spark, MODEL_DATA).count()
+    assert queries()["models_by_group"](spark, MODEL_DATA).count() == teams
+    assert queries()["two_stage_fit"](spark, SMALL).count() > 0
+
+
+def test_derived_tables_are_dropped(spark):
+    from seasonlab import session
+
+    queries()["path_leagues"](spark, SMALL).count()
+    assert session._derived
+    session.drop_derived(spark)
+    assert not session._derived
 
 
 def test_entry(spark):

@@ -25,7 +25,7 @@ def test_penalised_weights_equal_sparks(spark):
     cov, by_y, _ = ml.centred(sums.T @ sums)
     df = spark.createDataFrame([(Vectors.dense(r), float(v)) for r, v in zip(x, y)], ["features", "label"])
     for alpha in (0.5, 0.05, 0.005):
-        w = ml.shrink(cov, by_y, alpha, np.zeros(5), tolerance=1e-9)
+        w = ml.shrink(cov, by_y, alpha, np.zeros(5))
         fit = LinearRegression(regParam=alpha, elasticNetParam=1.0, standardization=False, solver="normal").fit(df)
         assert w == pytest.approx(fit.coefficients.toArray(), abs=2e-4)
 
@@ -45,6 +45,22 @@ def test_squared_error_from_sums():
     assert ml.squared_error(rows.T @ rows, w, 1.5) == pytest.approx(np.mean((y - 1.5 - x @ w) ** 2))
 
 
+def test_weights_that_do_not_settle_are_an_error():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(50, 6))
+    cov = x.T @ x / 50
+    with pytest.raises(RuntimeError):
+        ml.shrink(cov, cov.sum(axis=1), 1e-6, np.zeros(6), most=3)
+
+
+def test_whole_grid_is_walked(monkeypatch, table):
+    seen = []
+    real = ml.shrink
+    monkeypatch.setattr(ml, "shrink", lambda cov, by_y, alpha, w: seen.append(alpha) or real(cov, by_y, alpha, w))
+    ml.fit_split(table, "y", ["a"], ["id"], 1)
+    assert len(set(seen)) == 100 and len(seen) == 500
+
+
 def test_fit_finds_the_product_term(table):
     flat = ml.fit_split(table, "y", ["a", "b", "c"], ["id"], 1)
     bent = ml.fit_split(table, "y", ["a", "b", "c"], ["id"], 2)
@@ -96,3 +112,17 @@ def test_sweep_logs_a_row_per_degree(spark, table):
     log, fits = ml.degree_sweep(spark, {"S": ("some", table, ["a", "b"], (1, 2))}, "y", ["id"])
     assert [tuple(r)[:3] for r in log.collect()] == [("S", "some", "lasso_poly1"), ("S", "some", "lasso_poly2")]
     assert set(fits) == {("S", 1), ("S", 2)}
+
+
+def test_position_sweep_closes_with_the_sums(spark, table):
+    names = ml.group_features("QB", [])
+    df = table.select(
+        F.floor(F.col("id") / 2).alias("team"),
+        F.when(F.col("id") % 2 == 0, "QB").otherwise("FLEX").alias("pos"),
+        *[F.col("abc"[i % 3]).alias(n) for i, n in enumerate(names)],
+        "y",
+    )
+    log, fits = ml.position_sweep(spark, df, "y", ["QB", "FLEX"], [], ["team"], (1, 2))
+    rows = [(r.Model, r.Position, r.TestR2) for r in log.collect()]
+    assert [r[:2] for r in rows] == [(f"lasso_poly{d}", p) for d in (1, 2) for p in ("QB", "FLEX", "Aggregated")]
+    assert rows[5][2] > rows[2][2] and rows[5][2] > 0.9
