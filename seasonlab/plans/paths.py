@@ -138,11 +138,10 @@ def expect(tally: DataFrame, info: DataFrame, pick: int) -> DataFrame:
 def path_summary(picks: DataFrame, info: DataFrame, team: int, round_: int, conditions: Sequence[Choice] = (), teams: int = 10, digits: int | None = None) -> DataFrame:
     """What was chosen next on a path, per player and per position.
 
-    The tally, one row per choice, is kept in memory while it is used for rows,
-    position rows and shares; ``spark.catalog.clearCache()`` frees it.
+    Nothing is cached. The tally is read for rows, position rows and shares; where that
+    is dear, persist :func:`tally_choices` yourself and give it to :func:`summarise`.
     """
-    tally = tally_choices(chosen_next(picks, team, round_, conditions, teams), info).persist()
-    return summarise(tally, info, digits)
+    return summarise(tally_choices(chosen_next(picks, team, round_, conditions, teams), info), info, digits)
 
 
 def expected_outcome(picks: DataFrame, info: DataFrame, team: int, round_: int, conditions: Sequence[Choice] = (), teams: int = 10) -> DataFrame:
@@ -155,7 +154,7 @@ def before_choice(picks: DataFrame, info: DataFrame, team: int, round_: int, con
     """All a team wants to know before a choice: its pick number, the summary and the
     expected outcome, both from one tally."""
     pick = pick_number(team, round_, teams)
-    tally = tally_choices(chosen_next(picks, team, round_, conditions, teams), info).persist()
+    tally = tally_choices(chosen_next(picks, team, round_, conditions, teams), info)
     return pick, summarise(tally, info, digits), expect(tally, info, pick)
 
 

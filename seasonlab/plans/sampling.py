@@ -17,15 +17,18 @@ RATING_TOP = 301.0
 def softmax_group(df: DataFrame, keys: list[str], rating: str, temperature: float, name: str = "probability") -> DataFrame:
     """Softmax of the turned-around rating within a group.
 
-    Two small aggregates joined back, not a window: a group may be a large share of
-    the table.
+    One aggregate, combined before the shuffle, and one join; not a window: a group may
+    be a large share of the table. The turned-around rating's top is the same in all
+    groups and cancels out, so no group's own top is needed: ratings from 0 to
+    ``RATING_TOP`` and beyond keep within what a double can hold unless the temperature
+    is very low, which is refused.
     """
-    x = (F.lit(RATING_TOP) - F.col(rating)) / F.lit(float(temperature))
-    rows = df.withColumn("_x", x)
-    tops = rows.groupBy(*keys).agg(F.max("_x").alias("_top"))
-    shifted = join_to_groups(rows, tops, keys).withColumn("_e", F.exp(F.col("_x") - F.col("_top")))
-    sums = shifted.groupBy(*keys).agg(F.sum("_e").alias("_total"))
-    return join_to_groups(shifted, sums, keys).withColumn(name, F.col("_e") / F.col("_total")).drop("_x", "_top", "_e", "_total")
+    if temperature < 0.5:
+        raise ValueError(f"a temperature of {temperature} takes ratings out of range")
+    weight = F.exp(-F.col(rating) / F.lit(float(temperature)))
+    rows = df.withColumn("_e", weight)
+    sums = rows.groupBy(*keys).agg(F.sum("_e").alias("_total"))
+    return join_to_groups(rows, sums, keys).withColumn(name, F.col("_e") / F.col("_total")).drop("_e", "_total")
 
 
 def sampled_order(pool: DataFrame, keys: list[str], key: str, rating: str, temperature: float, samples: int, picks: int, teams: int = 10, seed: int = 0) -> DataFrame:

@@ -76,6 +76,18 @@ def test_team_totals_have_all_positions(spark):
     assert queries()["two_stage_fit"](spark, SMALL).count() > 0
 
 
+def test_nothing_stays_cached(spark):
+    spark.catalog.clearCache()
+    for name in ("path_summary", "expected_outcome", "models_by_group", "two_stage_fit"):
+        queries()[name](spark, MODEL_DATA if name == "models_by_group" else SMALL).count()
+        assert not list(spark.sparkContext._jsc.getPersistentRDDs()), name
+
+
+def test_path_filters_reach_the_stored_picks(spark):
+    plan = queries()["path_leagues"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(And(EqualTo(pick," in plan and "lineitem" not in plan
+
+
 def test_derived_tables_are_dropped(spark):
     from seasonlab import session
 
