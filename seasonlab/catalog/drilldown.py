@@ -98,3 +98,14 @@ def records(spark: SparkSession, sf: str) -> DataFrame:
     part = views.table(spark, sf, "part")
     rows = part.select(F.col("p_partkey").alias("player_id"), F.col("p_type").alias("pos"), F.col("p_size").alias("size"))
     return rows.select("pos", F.to_json(F.struct("player_id", "pos", "size")).alias("record"))
+
+
+@query(
+    """SELECT league FROM picks_total GROUP BY 1
+HAVING bool_or(pick = 1 AND (pos = 'PROMO' OR total > 150000)) AND bool_or(pick = 2 AND player_id % 2 = 0)""",
+    "picks_total",
+)
+def path_text_predicate(spark: SparkSession, sf: str) -> DataFrame:
+    """Leagues on a path whose conditions also hold predicates given as text."""
+    conditions = [Choice(1, positions=("PROMO",), where="total > 150000"), Choice(2, where="player_id % 2 = 0")]
+    return paths.path_leagues(views.picks_total(spark, sf), conditions)

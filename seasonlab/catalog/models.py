@@ -84,8 +84,7 @@ def line_fit(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def two_stage_fit(spark: SparkSession, sf: str) -> DataFrame:
     """Season points and their variance for every entity-season."""
-    inputs = [f"{sf}/{t}.parquet" for t in ("orders", "customer")]
-    stage = derived_table(spark, "staged", inputs, lambda: staged(spark, sf))
+    stage = staged(spark, sf)
     train = final_limits(stage, views.BASE_YEAR, views.PREDICT)
     scored, _, _ = ml.two_stage_fit(train, add_final_fields(stage, views.BASE_YEAR), "pts", SEASON_FEATURES, "adp", ["player_id", "season"], (3, 2))
     return scored.select("player_id", "season", "adp", "pred", "var", "var2", "var_pred")

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from seasonlab.catalog import views
 from seasonlab.catalog.registry import query
-from seasonlab.functions import Scoring
+from seasonlab.functions import Scoring, one_hot
 from seasonlab.functions.scoring import score_season_stats
-from seasonlab.operators import blend_means, join_to_groups
+from seasonlab.operators import blend_means, join_to_groups, one_hot_violations
 from seasonlab.plans import rankings as spelling
 from seasonlab.plans import season as plan
 from seasonlab.plans.sampling import sampled_order as draw_orders
 from seasonlab.plans.sampling import softmax_group as softmax
+from seasonlab.session import derived_table, new_path
+from seasonlab.sources import overwrite_table, read_by_suffix
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,7 +49,8 @@ def ranking(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def staged(spark: SparkSession, sf: str) -> DataFrame:
-    """All steps from season rows to the merged feature table."""
+    """All steps from season rows to the merged feature table: a derived table, written by
+    the first query that needs it and read by all."""
     steps = [
         ("leave out the predicted season", lambda df: df.where(F.col("season") != views.PREDICT)),
         ("prior season", lambda df: plan.prior_period_features(df, views.PREDICT)),
@@ -60,7 +63,11 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
             lambda df: plan.stage_merge(df, ranking(spark, sf), ["player_id", "season"], "adp", views.SEGMENTS),
         ),
     ]
-    return plan.run_steps(views.season_aged(spark, sf), steps)
+
+    def build() -> DataFrame:
+        return plan.run_steps(views.season_aged(spark, sf), steps)
+
+    return derived_table(spark, "staged", [f"{sf}/orders.parquet", f"{sf}/customer.parquet"], build)
 
 
 @query(
@@ -140,6 +147,38 @@ def blend_rankings(spark: SparkSession, sf: str) -> DataFrame:
     return blend(spark, sf)
 
 
+@query("SELECT player_id, season, adp FROM blend WHERE season NOT IN (1995, 1996)", "blend")
+def variant_rankings(spark: SparkSession, sf: str) -> DataFrame:
+    """Two stored lists told apart by how their paths end, the variant's blend of them, and
+    the first years left out."""
+    folder = new_path(spark, "lists")
+    for list_of, variant, end in ((views.rank_a, "PPR", "adp_full.parquet"), (views.rank_b, "NPPR", "adp_nppr_full.parquet")):
+        named = list_of(spark, sf).withColumnsRenamed({"season": "Year", "adp": Scoring(variant).ranking})
+        overwrite_table(named, f"{folder}/{end}")
+    lists = read_by_suffix(spark, [f"{folder}/adp_full.parquet", f"{folder}/adp_nppr_full.parquet"])
+    half = Scoring("HPPR")
+    out = spelling.rankings_for(half, lists["PPR"], lists["NPPR"], ["player_id", "Year"], (1995, 1996))
+    return out.select("player_id", F.col("Year").alias("season"), F.col(half.ranking).alias("adp"))
+
+
+@query(
+    """SELECT player_id, season, CASE tm WHEN 'T0R' THEN 'NUL' WHEN 'T3R' THEN 'TRE' ELSE tm END AS tm, pos, yrs, rookie, draft_pick
+FROM attributes WHERE pos IN ('BUILDING', 'FURNITURE')""",
+    "attributes",
+)
+def roster_mapped(spark: SparkSession, sf: str) -> DataFrame:
+    """Rosters of some positions, with the team codes of another source."""
+    rows = views.roster(spark, sf).where(F.col("pos").isin("BUILDING", "FURNITURE"))
+    return plan.roster_attributes(rows, team_codes={"T0R": "NUL", "T3R": "TRE"})
+
+
+@query("SELECT player_id, season FROM season WHERE pos NOT IN ('AUTOMOBILE', 'BUILDING')", "season")
+def one_hot_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that are in none of the dummy columns of two positions."""
+    rows = views.season(spark, sf).select("player_id", "season", *one_hot("pos", ["AUTOMOBILE", "BUILDING"]))
+    return one_hot_violations(rows, ["AUTOMOBILE", "BUILDING"]).select("player_id", "season")
+
+
 @query("SELECT player_id, season, tm, pos, yrs, rookie, draft_pick FROM attributes", "attributes")
 def roster_attributes(spark: SparkSession, sf: str) -> DataFrame:
     return attributes(spark, sf)
