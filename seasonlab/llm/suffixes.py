@@ -167,6 +167,7 @@ def _packed(kind: int, block: np.ndarray, table: np.ndarray):
 
 
 def _block(h: np.ndarray, blocks: int) -> np.ndarray:
+    """The task that each hash is dealt to."""
     return (mixed(h.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
 
 
@@ -184,8 +185,8 @@ def settled_or_asked(texts: DataFrame, tasks: int, length: int, reach: int) -> D
                 text, name, context, first, ahead, n = sampled(part, length, reach)
                 parts.append((name, context, keys[part.first + text], _place(first, ahead, n)))
             done, sent = combine(*(np.concatenate(c) for c in zip(*parts)))
-            yield _packed(1, _block(done[:, 0].copy(), 8 * tasks), done)
-            yield _packed(0, _block(sent[:, 0].copy(), 8 * tasks), sent)
+            yield _packed(1, _block(done[:, 0].copy(), tasks), done)
+            yield _packed(0, _block(sent[:, 0].copy(), tasks), sent)
 
     def gather(batches):
         import pyarrow as pa
@@ -197,7 +198,7 @@ def settled_or_asked(texts: DataFrame, tasks: int, length: int, reach: int) -> D
         out = np.concatenate([*cells[1], meet(np.concatenate(cells[0]))])
         yield pa.RecordBatch.from_arrays([pa.array(out[:, k].copy()) for k in range(4)], names=["key", "place", "name", "kind"])
 
-    dealt = texts.mapInArrow(deal, "kind int, block int, entries binary").repartition(tasks, "block")
+    dealt = texts.mapInArrow(deal, "kind int, block int, entries binary").repartitionById(tasks, "block")
     return dealt.mapInArrow(gather, "key long, place long, name long, kind long")
 
 
@@ -233,7 +234,7 @@ def compared(texts: DataFrame, asked: DataFrame, tasks: int, length: int) -> Dat
                     start = np.flatnonzero(new)
                     size = np.diff(np.append(start, len(which)))
                     heads.append(np.stack([np.full(len(start), keys[part.first + t]), p[start], size * 2 + open_[which[start]]], axis=1))
-                    blocks.append(_block(dealt[start].copy(), 8 * tasks))
+                    blocks.append(_block(dealt[start].copy(), tasks))
                     prefixes.append(prefix)
             if not heads:
                 continue
@@ -280,7 +281,7 @@ def compared(texts: DataFrame, asked: DataFrame, tasks: int, length: int) -> Dat
 
     lists = asked.groupBy("key").agg(F.collect_list(F.struct("place", "name", "kind")).alias("asked"))
     rows = texts.join(lists, "key").select("key", "text", "asked")
-    dealt = rows.mapInArrow(deal, "block int, heads binary, prefixes binary").repartition(tasks, "block")
+    dealt = rows.mapInArrow(deal, "block int, heads binary, prefixes binary").repartitionById(tasks, "block")
     return dealt.mapInArrow(compare, "key long, place long")
 
 
