@@ -182,7 +182,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, least: float = 0.5, text_col: str = "text") -> DataFrame:
+def keep_identified(docs: DataFrame, least: float = 0.4, text_col: str = "text") -> DataFrame:
     """The rows, all columns, whose text has a language with a score of ``least`` or more."""
     pred, score = "lang_pred", "lang_score"
     while pred in docs.columns or score in docs.columns:
