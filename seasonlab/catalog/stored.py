@@ -9,6 +9,7 @@ from seasonlab.catalog import views
 from seasonlab.catalog.registry import query
 from seasonlab.catalog.views import table
 from seasonlab.session import new_path
+from seasonlab.streaming import ingest_stream
 from seasonlab.sources import (
     append_table,
     ingest_new,
@@ -60,15 +61,30 @@ def append_sink(spark: SparkSession, sf: str) -> DataFrame:
     return read_tables(spark, path)
 
 
+def _batches(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Events in two batches that overlap by ten days."""
+    day = F.dayofmonth("ts")
+    events = table(spark, sf, "events")
+    return [events.where(part).select("event_id", "user_id", "value", day.alias("day")) for part in (day <= 20, day >= 10)]
+
+
 @query("SELECT event_id, user_id, value FROM events")
 def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Two overlapping batches; rows of the second that are stored already are skipped."""
     path = new_path(spark, "events-ingested")
-    events = table(spark, sf, "events")
-    day = F.dayofmonth("ts")
-    columns = ["event_id", "user_id", "value"]
-    ingest_new(spark, events.where(day <= 20).select(*columns), path, ["event_id"])
-    return ingest_new(spark, events.where(day >= 10).select(*columns), path, ["event_id"])
+    for batch in _batches(spark, sf):
+        out = ingest_new(spark, batch, path, ["event_id"], "day")
+    return out.select("event_id", "user_id", "value")
+
+
+@query("SELECT event_id, user_id, value FROM events")
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """The same batches as files that a stream takes in, each run what is new."""
+    folder = new_path(spark, "events-stream")
+    for batch in _batches(spark, sf):
+        append_table(batch, f"{folder}/arrived")
+        out = ingest_stream(spark, f"{folder}/arrived", batch.schema, f"{folder}/stored", f"{folder}/checkpoint", ["event_id"], "day")
+    return out.select("event_id", "user_id", "value")
 
 
 DECODED = "replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"

@@ -6,6 +6,7 @@ from seasonlab.sources.files import (
     read_csv,
     read_csv_years,
     read_tables,
+    touched_partitions,
     write_csv,
 )
 from seasonlab.sources.html import page_links, page_tables, table_counts
@@ -17,6 +18,7 @@ __all__ = [
     "page_links",
     "page_tables",
     "table_counts",
+    "touched_partitions",
     "read_by_suffix",
     "read_csv",
     "read_csv_years",

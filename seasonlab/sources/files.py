@@ -79,8 +79,13 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     _gather(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def ingest_new(spark: SparkSession, batch: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Append the rows of a batch whose keys are not stored yet; return the stored table."""
+def ingest_new(spark: SparkSession, batch: DataFrame, path: str, keys: list[str], partition: str | None = None) -> DataFrame:
+    """Append the rows of a batch whose keys are not stored yet; return the stored table.
+
+    With ``partition``, a column that follows from the key, such as its date, the store
+    is partitioned by it and only the partitions that the batch touches are read.
+    """
+    by = [partition] if partition else []
     try:
         stored = spark.read.schema(batch.schema).parquet(path)
     except AnalysisException as error:
@@ -90,8 +95,17 @@ def ingest_new(spark: SparkSession, batch: DataFrame, path: str, keys: list[str]
     else:
         # Stored keys are first cut down to those in the batch, which is the smaller
         # side: Spark broadcasts it while it is, and the stored table is not shuffled.
+        touched = touched_partitions(stored, batch, partition) if partition else stored
         incoming = batch.select(*keys).distinct()
-        known = stored.select(*keys).join(incoming, keys, "left_semi").distinct()
+        known = touched.select(*keys).join(incoming, keys, "left_semi").distinct()
         new = join_to_groups(batch, known, keys, "left_anti")
-    append_table(new.select(*batch.columns), path)
+    append_table(new.select(*batch.columns), path, by)
     return spark.read.schema(batch.schema).parquet(path)
+
+
+def touched_partitions(stored: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
+    """The partitions of a store that a batch has rows of. Their names are brought to the
+    driver, so that the others' files are not even listed as input."""
+    values = [r[0] for r in batch.select(partition).distinct().collect()]
+    there = F.col(partition).isin([v for v in values if v is not None])
+    return stored.where(there | F.col(partition).isNull() if None in values else there)

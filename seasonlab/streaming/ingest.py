@@ -10,7 +10,7 @@ from seasonlab.operators import join_to_groups
 from seasonlab.sources.files import ingest_new
 
 
-def ingest_stream(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, keys: list[str]) -> DataFrame:
+def ingest_stream(spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, keys: list[str], partition: str | None = None) -> DataFrame:
     """Take in the files that arrived since the last run and stop.
 
     The checkpoint remembers files already read. A key belongs to the first file that
@@ -21,7 +21,7 @@ def ingest_stream(spark: SparkSession, source: str, schema: StructType, target:
     def take(batch: DataFrame, _: int) -> None:
         first = batch.groupBy(*keys).agg(F.min("_file").alias("_file"))
         kept = join_to_groups(batch, first, [*keys, "_file"], "left_semi").drop("_file")
-        ingest_new(batch.sparkSession, kept, target, keys)
+        ingest_new(batch.sparkSession, kept, target, keys, partition)
 
     stream = spark.readStream.schema(schema).parquet(source).select("*", F.col("_metadata.file_path").alias("_file"))
     query = (

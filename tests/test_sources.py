@@ -11,6 +11,7 @@ from seasonlab.sources import (
     page_links,
     page_tables,
     table_counts,
+    touched_partitions,
     read_by_suffix,
     read_csv,
     read_csv_years,
@@ -130,6 +131,15 @@ def test_cells_beyond_the_columns_and_spans(rows):
     assert values(table_counts(pages, "t")) == [(1, 2)]
 
 
+def test_ingest_reads_touched_partitions_alone(rows, spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k int, day int"
+    ingest_new(spark, rows([(1, 1), (2, 2), (3, None), (4, 4)], schema), path, ["k"], "day")
+    batch = rows([(2, 2), (3, None), (5, 2)], schema)
+    plan = touched_partitions(spark.read.schema(schema).parquet(path), batch, "day")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((day" in plan and "DataFilters: []" in plan
+    assert values(ingest_new(spark, batch, path, ["k"], "day")) == [(1, 1), (2, 2), (3, None), (4, 4), (5, 2)]
+
+
 def test_append_keeps_rows_without_a_type(spark, tmp_path):
     from seasonlab.catalog import QUERIES
 
