@@ -46,10 +46,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no earlier run has used."""
-    return f"{shared_folder(spark)}/seasonlab/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no earlier run has used.
+
+    The session owns what is written there: :func:`drop_written` removes it.
+    """
+    path = f"{shared_folder(spark)}/seasonlab/{name}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(drop_written, spark)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
+_written: dict[str, list[str]] = {}
 _derived: dict[tuple, str] = {}
 
 
@@ -63,24 +71,25 @@ def _version(spark: SparkSession, path: str) -> tuple:
 def derived_table(spark: SparkSession, name: str, inputs: list[str], build: Callable[[], DataFrame]) -> DataFrame:
     """A table that queries share: written by the first that needs it, then read.
 
-    It is built again when the files of an input have changed. The session owns it:
-    :func:`drop_derived` removes all of them, at the latest when Python ends.
+    It is built again when the files of an input have changed.
     """
     key = (spark.sparkContext.applicationId, name, *(_version(spark, p) for p in inputs))
     if key not in _derived:
         path = new_path(spark, name)
         build().write.parquet(path)
-        if not _derived:
-            atexit.register(drop_derived, spark)
         _derived[key] = path
     return spark.read.parquet(_derived[key])
 
 
-def drop_derived(spark: SparkSession) -> None:
-    """Remove the derived tables of the session."""
-    if spark.sparkContext._jsc is None:  # stopped
+def drop_written(spark: SparkSession) -> None:
+    """Remove all that this session has written below the shared folder: derived tables,
+    and tables that cut a plan's lineage, which results still read. Called when Python
+    ends, unless the session has been stopped before."""
+    if spark.sparkContext._jsc is None:
         return
-    for key, path in [kp for kp in _derived.items() if kp[0][0] == spark.sparkContext.applicationId]:
+    app = spark.sparkContext.applicationId
+    for path in _written.pop(app, []):
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    for key in [k for k in _derived if k[0] == app]:
         del _derived[key]

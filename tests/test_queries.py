@@ -88,13 +88,16 @@ def test_path_filters_reach_the_stored_picks(spark):
     assert "PushedFilters: [Or(And(EqualTo(pick," in plan and "lineitem" not in plan
 
 
-def test_derived_tables_are_dropped(spark):
+def test_written_tables_are_dropped(spark):
+    import os
+
     from seasonlab import session
 
     queries()["path_leagues"](spark, SMALL).count()
-    assert session._derived
-    session.drop_derived(spark)
-    assert not session._derived
+    paths = [p.removeprefix("file://") for p in session._written[spark.sparkContext.applicationId]]
+    assert session._derived and any(os.path.exists(p) for p in paths)
+    session.drop_written(spark)
+    assert not session._derived and not any(os.path.exists(p) for p in paths)
 
 
 def test_entry(spark):
