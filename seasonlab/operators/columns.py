@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seasonlab.operators.joins import join_to_groups
+
 
 def conditional_override(df: DataFrame, rules: Sequence[tuple[Column, str, object]]) -> DataFrame:
     """Apply ``(condition, column, value)`` rules in order; a later rule sees the
@@ -22,14 +24,16 @@ def map_values(df: DataFrame, column: str, mapping: dict | DataFrame) -> DataFra
 
     A dict becomes a literal map inside the expression. A table (first column:
     old value, second: new one) is joined; Spark broadcasts it when its measured
-    size allows and shuffles it otherwise.
+    size allows and shuffles it otherwise, with a frequent value spread over several
+    tasks. An old value listed more than once takes the least of its new ones, so
+    that no row is multiplied.
     """
     if isinstance(mapping, dict):
         pairs = [F.lit(x) for kv in mapping.items() for x in kv]
         return df.withColumn(column, F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(column)), F.col(column)))
     old, new = mapping.columns[:2]
-    table = mapping.select(F.col(old).alias("_old"), F.col(new).alias("_new"))
-    joined = df.join(table, df[column] == table["_old"], "left")
+    table = mapping.groupBy(F.col(old).alias("_old")).agg(F.min(new).alias("_new"))
+    joined = join_to_groups(df.withColumn("_old", F.col(column)), table, ["_old"])
     return joined.withColumn(column, F.coalesce("_new", column)).select(*df.columns)
 
 

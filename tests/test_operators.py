@@ -250,7 +250,7 @@ def test_overrides_run_in_order_and_leave_nulls(rows):
 
 def test_mapping_keeps_what_is_not_listed(rows):
     df = rows([("GB", 1), ("CHI", 2), (None, 3)], "tm string, n int")
-    table = rows([("GB", "GNB")], "old string, new string")
+    table = rows([("GB", "GNB"), ("GB", "ZZZ")], "old string, new string")
     expected = [("CHI", 2), ("GNB", 1), (None, 3)]
     assert values(map_values(df, "tm", {"GB": "GNB"})) == values(map_values(df, "tm", table)) == expected
 
