@@ -25,6 +25,7 @@ FREQUENT = 65_536  # most shingles that are put last in the order of all sets
 TILE = 256  # documents on a side of a tile
 BITS = 2_048
 ENTRIES_A_TASK = 4_000_000
+PACKED = "block int, entries binary"
 
 
 def enough(overlap, x, y, similarity: int = 80):
@@ -131,6 +132,10 @@ def _tasks(spark: SparkSession, entries: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // ENTRIES_A_TASK))
 
 
+def _block(key: np.ndarray, tasks: int) -> np.ndarray:
+    return (mixed(key.view(np.uint64)) % np.uint64(8 * tasks)).astype(np.int64)
+
+
 def _packed(block: np.ndarray, columns: list[np.ndarray]):
     """Entries as one row per block: its number and the packed columns."""
     import pyarrow as pa
@@ -186,11 +191,9 @@ def candidates(docs: DataFrame, text_col: str, frequent: np.ndarray, entries: in
                 once[np.unique(keys, return_index=True)[1]] = True
                 first &= once[text]
                 text, shingle = text[first], shingle[first]
-                yield _packed((mixed(shingle) % np.uint64(8 * tasks)).astype(np.int64), [shingle, keys[text], sizes[text].astype(np.int64)])
+                yield _packed(_block(shingle, tasks), [shingle, keys[text], sizes[text].astype(np.int64)])
 
     def count(batches):
-        import pyarrow as pa
-
         table = _entries(batches, 3)
         order = np.lexsort((table[:, 1], table[:, 0]))
         table = table[order]
@@ -200,12 +203,21 @@ def candidates(docs: DataFrame, text_col: str, frequent: np.ndarray, entries: in
         start, length = _runs(table[:, 0])
         shared = np.repeat(length > 1, length)
         key, at, n = np.unique(table[shared, 1], return_index=True, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(table[shared, 2][at]), pa.array(n)], names=["node", "n", "shared"])
+        yield _packed(_block(key, tasks), [key, table[shared, 2][at], n])
 
-    blocks = docs.select(text_col).mapInArrow(deal, "block int, entries binary").repartition(tasks, "block")
-    counts = blocks.mapInArrow(count, "node long, n long, shared long").groupBy("node", "n").agg(F.sum("shared").alias("shared"))
-    smaller = F.expr("(4 * n + 4) div 5")
-    return counts.where(F.col("shared") >= F.floor(smaller / 10) + 1).select("node", "n")
+    def total(batches):
+        import pyarrow as pa
+
+        table = _entries(batches, 3)
+        start, _ = _runs(table[:, 0])
+        shared = np.add.reduceat(table[:, 2], start) if len(start) else np.zeros(0, dtype=np.int64)
+        node, n = table[start, 0], table[start, 1]
+        enough_shared = shared >= least_shared((4 * n + 4) // 5)  # of the smallest set that could be linked
+        yield pa.RecordBatch.from_arrays([pa.array(node[enough_shared]), pa.array(n[enough_shared])], names=["node", "n"])
+
+    blocks = docs.select(text_col).mapInArrow(deal, PACKED).repartition(tasks, "block")
+    counts = blocks.mapInArrow(count, PACKED).repartition(tasks, "block")
+    return counts.mapInArrow(total, "node long, n long")
 
 
 def members(docs: DataFrame, id_col: str, text_col: str, chosen: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -245,28 +257,37 @@ def _first(rows: DataFrame, columns: list[str], tasks: int) -> DataFrame:
             own = [np.frombuffer(m, dtype=np.uint64) for m in batch.column(len(columns)).to_pylist()]
             at = np.repeat(np.arange(len(own)), [len(o) for o in own])
             shingle = np.concatenate(own) if own else np.zeros(0, dtype=np.uint64)
-            yield _packed((mixed(shingle) % np.uint64(8 * tasks)).astype(np.int64), [shingle, *(c[at].astype(np.int64) for c in cells)])
+            yield _packed(_block(shingle, tasks), [shingle, *(c[at].astype(np.int64) for c in cells)])
 
-    return rows.select(*columns, "first").mapInArrow(deal, "block int, entries binary").repartition(tasks, "block")
+    return rows.select(*columns, "first").mapInArrow(deal, PACKED).repartition(tasks, "block")
 
 
 def leads(firsts: DataFrame, tasks: int) -> DataFrame:
-    """(node, lead): the smallest node that shares a first shingle with the node, itself included."""
+    """(node, lead): the smallest node that shares a first shingle with the node, itself
+    included, for nodes that share one at all; others are linked with nothing."""
 
-    def least(batches):
-        import pyarrow as pa
+    def smallest(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.lexsort((value, key))
+        start, _ = _runs(key[order])
+        return key[order][start], value[order][start]
 
+    def least(batches):
         table = _entries(batches, 2)
         start, length = _runs(table[:, 0])
         low = np.minimum.reduceat(table[:, 1], start) if len(start) else np.zeros(0, dtype=np.int64)
-        low, node = np.repeat(low, length), table[:, 1]
-        order = np.lexsort((low, node))
-        node, low = node[order], low[order]
-        start, _ = _runs(node)
-        yield pa.RecordBatch.from_arrays([pa.array(node[start]), pa.array(low[start])], names=["node", "lead"])
-
-    blocks = _first(firsts, ["node"], tasks)
-    return blocks.mapInArrow(least, "node long, lead long").groupBy("node").agg(F.min("lead").alias("lead"))
+        shared = np.repeat(length > 1, length)
+        node, low = smallest(table[shared, 1], np.repeat(low, length)[shared])
+        yield _packed(_block(node, tasks), [node, low])
+
+    def least_of_all(batches):
+        import pyarrow as pa
+
+        table = _entries(batches, 2)
+        node, low = smallest(table[:, 0], table[:, 1])
+        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(low)], names=["node", "lead"])
+
+    blocks = _first(firsts, ["node"], tasks).mapInArrow(least, PACKED).repartition(tasks, "block")
+    return blocks.mapInArrow(least_of_all, "node long, lead long")
 
 
 class Forest:
