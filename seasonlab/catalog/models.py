@@ -24,6 +24,7 @@ from seasonlab.plans import profile as profiles
 from seasonlab.plans import regression as ml
 from seasonlab.plans.season import add_final_fields, final_limits
 from seasonlab.session import derived_table, new_path
+from seasonlab.sources import append_table, read_tables
 
 SEASON_FEATURES = ["age", "adj_year", "drafted", "group_total", "group_size", "adp", "rookie", "yrs", *views.SEGMENTS]
 TWO_STARTERS = ["LARGE", "MEDIUM"]
@@ -106,6 +107,17 @@ def degree_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return log.drop("TimeToFinish")
 
 
+@query()
+def results_log(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored log to which every fit appends its row as it is made."""
+    starter = profiles.starter_points(complete_profiles(spark, sf), BY, "pts", tuple(TWO_STARTERS))
+    path = new_path(spark, "results-log")
+    for degree in (1, 2, 3):
+        fit = ml.fit_split(starter, "pts", ["final_pred_points"], BY, degree)
+        append_table(ml.log_row(spark, "Starter", "predicted points of starters", degree, fit), path)
+    return read_tables(spark, path).drop("TimeToFinish")
+
+
 @query()
 def position_sweep(spark: SparkSession, sf: str) -> DataFrame:
     """Every position at degrees 1 to 3, and the test teams' sums, as a results log."""

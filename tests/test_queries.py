@@ -8,7 +8,7 @@ from skewed import write_skewed
 from __spark_entry__ import entry, queries
 from seasonlab.catalog import ORACLES, QUERIES
 
-MODELS = {"fit_poly_lasso", "two_stage_fit", "degree_sweep", "position_sweep", "models_by_group"}
+MODELS = {"fit_poly_lasso", "two_stage_fit", "degree_sweep", "position_sweep", "models_by_group", "results_log"}
 MODEL_DATA = "/root/testdata/sf0.01"  # the smallest tables in which leagues have all their starters
 
 
@@ -68,6 +68,7 @@ def test_sweeps_have_all_their_rows(spark):
     log = queries()["position_sweep"](spark, MODEL_DATA).collect()
     assert len(log) == 18 and [r.Position for r in log].count("Aggregated") == 3
     assert queries()["fit_poly_lasso"](spark, MODEL_DATA).count() == 5
+    assert sorted(r.Model for r in queries()["results_log"](spark, MODEL_DATA).collect()) == ["lasso_poly1", "lasso_poly2", "lasso_poly3"]
 
 
 def test_team_totals_have_all_positions(spark):
