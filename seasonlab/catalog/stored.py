@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seasonlab.catalog import views
 from seasonlab.catalog.registry import query
 from seasonlab.catalog.views import table
 from seasonlab.session import new_path

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seasonlab.functions import amount
-from seasonlab.operators import drop_bad_groups, group_sum, join_to_groups, pivot_values, top_n
+from seasonlab.operators import drop_bad_groups, join_to_groups, pivot_values, top_n
 from seasonlab.plans.lineup import FLEX, Slots
 
 # What stands for a missing member's prediction and its error.

@@ -1,7 +1,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from seasonlab.session import new_path, shared_folder
 from seasonlab.sources import (
