@@ -1,15 +1,13 @@
+"""Small tables with odd rows, and empty ones."""
+
 from __future__ import annotations
 
-import os
 import random
-import sys
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-sys.path.insert(0, os.path.dirname(__file__))
-
 WORDS = "stone river lamp green window carry under paper light song north field voice table early storm glass quiet road apple".split()
 
 

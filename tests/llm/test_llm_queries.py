@@ -9,6 +9,7 @@ import brute
 import duckdb
 import pytest
 
+from odd_tables import empty, odd  # noqa: F401  (fixtures)
 from oracle import compare, connect
 
 import corpus_pipeline
@@ -178,7 +179,7 @@ def test_fuzzy_lines_equal_brute_force(spark, rows):
 
     line = "the quick brown fox jumps over the lazy dog and runs through the deep dark forest until the night falls on the quiet hills of the north"
     texts = [(3, f"{line}\nalpha beta"), (1, f"{line.upper()}!!\n\n{line}s"), (2, "x\nx\n---\n---"), (4, None), (None, "alpha beta"), (5, "alpha, BETA?\ngamma")]
-    from seasonlab.llm.lines import FAR, fuzzy_lines, simhash
+    from seasonlab.llm.lines import FAR, fuzzy_lines
 
     found = Counter((r.doc_id, r.n_lines, r.n_kept, tuple(r.kept)) for r in fuzzy_lines(rows(texts, "doc_id long, text string")).collect())
     norm = {}
@@ -206,7 +207,6 @@ def test_fuzzy_lines_equal_brute_force(spark, rows):
             kept[doc].append(no)
         seen.add(g)
     assert found == Counter((d, len((t or "").split("\n")), len(kept[d]), tuple(kept[d])) for d, t in texts)
-    assert simhash is not None
 
 
 def test_components_of_a_chain_and_a_star(spark, rows):
