@@ -104,7 +104,8 @@ TABLE_COLUMNS = ["Rk", "Customer", "Total", "Priority"]
 
 def order_pages(spark: SparkSession, sf: str) -> DataFrame:
     """A web page per order: its own row, a repeated header, and its customer's row."""
-    orders = table(spark, sf, "orders")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # reading pages is slow per row
+    orders = table(spark, sf, "orders").repartition(tasks, "o_orderkey")
     head = "<tr>" + "".join(f"<th>{c}</th>" for c in TABLE_COLUMNS) + "</tr>"
     customer, price = F.col("o_custkey").cast("string"), F.col("o_totalprice").cast("string")
     html = F.concat(
