@@ -209,6 +209,14 @@ def test_fuzzy_lines_equal_brute_force(spark, rows):
     assert found == Counter((d, len((t or "").split("\n")), len(kept[d]), tuple(kept[d])) for d, t in texts)
 
 
+def test_lines_of_many_words_are_printed(spark, rows):
+    from seasonlab.llm.lines import fuzzy_lines
+
+    texts = [(1, " ".join(f"w{i}" for i in range(100_000))), (2, "same " * 100_000), (3, "same " * 100_000 + "\nend")]
+    found = Counter((r.doc_id, r.n_lines, tuple(r.kept)) for r in fuzzy_lines(rows(texts, "doc_id long, text string")).collect())
+    assert found == Counter([(1, 1, (0,)), (2, 1, (0,)), (3, 2, (1,))])
+
+
 def test_components_of_a_chain_and_a_star(spark, rows):
     from seasonlab.llm.graph import components
 
