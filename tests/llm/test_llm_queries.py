@@ -217,6 +217,31 @@ def test_lines_of_many_words_are_printed(spark, rows):
     assert found == Counter([(1, 1, (0,)), (2, 1, (0,)), (3, 2, (1,))])
 
 
+def test_near_lines_are_found_by_edit_similarity_alone(spark, rows):
+    """Every line and a copy with one letter more, one word in ten or in five replaced, in documents of their own."""
+    import random
+
+    from seasonlab.llm.lines import fuzzy_lines
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    texts, linked = [], []
+    for k, n in enumerate([1, 2, 6, 10, 20, 34, 60] * 30):
+        own = [word() for _ in range(n)]
+        other = list(own)
+        if k % 3 and n >= 10:
+            for at in rng.sample(range(n), n // 10 if k % 3 == 1 else n // 5):
+                other[at] = word()
+        else:
+            other[rng.randrange(n)] += "e"
+        texts += [(2 * k, " ".join(own)), (2 * k + 1, " ".join(other))]
+        linked.append(brute.distance(texts[-2][1], texts[-1][1]) <= 0.2 * max(len(t) for _, t in texts[-2:]))
+    kept = {r.doc_id: r.n_kept for r in fuzzy_lines(rows(texts, "doc_id long, text string")).collect()}
+    found = [kept[2 * k + 1] == 0 for k in range(len(linked))]
+    assert not any(f and not w for f, w in zip(found, linked))
+    assert sum(found) >= 0.97 * sum(linked) > 180
+
+
 def test_components_of_a_chain_and_a_star(spark, rows):
     from seasonlab.llm.graph import components
 
