@@ -11,6 +11,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seasonlab.llm.common import stored
+
 TRAIN_PAGES = 300  # most pages that are learnt from
 STEPS = 250
 
@@ -149,6 +151,11 @@ MAIN = [f"tag-{t}" for t in MAIN_TAGS] + [f"name-{n}" for n in MAIN_NAMES]
 ASIDE_SET, MAIN_SET = frozenset(ASIDE), frozenset(MAIN)
 
 
+def tells(page: str) -> bool:
+    """Whether blocks of the page are in an article or main element."""
+    return any("article" in b.tags or "main" in b.tags for b in blocks_of(page))
+
+
 def labelled(page: str, rng: np.random.Generator) -> list[tuple[list[list[str]], list[int]]]:
     """Sequences to learn from: the blocks of a page whose own tags tell its parts.
 
@@ -244,14 +251,26 @@ def fit(sequences: list[tuple[list[list[str]], list[int]]], steps: int = STEPS,
             moments[i] += 0.1 * (grad - moments[i])
             moments[i + 2] += 0.001 * (grad * grad - moments[i + 2])
             p -= rate * (moments[i] / (1 - 0.9**step)) / (np.sqrt(moments[i + 2] / (1 - 0.999**step)) + 1e-8)
+    if not n:
+        w[size, 1] = 1  # nothing to learn from: all blocks are main text
     return Field(index, np.vstack([w[:size], w[size]]), links)
 
 
 def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", rows: int = TRAIN_PAGES) -> Field:
-    """A field from at most ``rows`` pages, first by a hash of their id."""
-    ids = pages.select(F.col(id_col).alias("picked")).where(F.col("picked").isNotNull()).distinct()
-    ids = ids.orderBy(F.xxhash64("picked", F.lit(5)), "picked").limit(rows)
-    texts = pages.join(F.broadcast(ids), F.col(id_col) == F.col("picked")).where(F.col(html_col).isNotNull())
+    """A field from the first ``rows`` pages, by a hash of their id, that tell their parts.
+
+    If not all of the first pages that name an article or main element do, all that name
+    one are parsed to find those that do.
+    """
+    named = pages.select(F.col(id_col).cast("string").alias("key"), F.col(html_col).cast("string").alias("page"))
+    named = named.where(F.col("page").rlike("(?i)<(article|main)"))
+    order = [F.xxhash64("key", F.lit(5)), "key", F.xxhash64("page")]
+
+    def telling(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield batch.filter(pa.array([tells(p) for p in batch.column(1).to_pylist()], type=pa.bool_()))
 
     def sequences(batches):
         import pyarrow as pa
@@ -272,8 +291,11 @@ def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", row
                 names=["key", "k", "x", "y"],
             )
 
-    found = texts.select(F.col(id_col).cast("string"), html_col).mapInArrow(sequences, "key string, k int, x array<string>, y array<int>").collect()
-    found = sorted((r.key, r.k, r.x, r.y) for r in found)
+    picked = stored(named.orderBy(*order).limit(rows), "first-pages")
+    if picked.mapInArrow(telling, picked.schema).count() < min(rows, picked.count()):
+        picked = stored(named.mapInArrow(telling, named.schema).orderBy(*order).limit(rows), "telling-pages")
+    found = picked.mapInArrow(sequences, "key string, k int, x array<string>, y array<int>").collect()
+    found = sorted(((r.key or "", r.k, r.x, r.y) for r in found))
     return fit([([b.split(" ") for b in x], y) for _, _, x, y in found])
 
 
@@ -287,7 +309,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     Blocks that the field labels as main text, in page order, joined by line ends; what
     is in them is neither cut nor changed. A page that is null, empty or without main
-    text has an empty text. Pages are parsed and decoded one by one in Arrow batches.
+    text has an empty text; if no page of the table has an article or main element, all
+    blocks are main text. Pages are parsed and decoded one by one in Arrow batches.
     """
     sent = pages.sparkSession.sparkContext.broadcast(learn(pages))
 

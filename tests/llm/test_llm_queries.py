@@ -310,6 +310,25 @@ def test_pages_equal_the_article(spark):
         assert found[page] == "\n".join(p for p in parts if p)
 
 
+def test_pages_learn_from_the_few_that_are_labelled(spark, rows):
+    """One page in forty tells its parts, fewer than any sample of all pages would hold."""
+    from seasonlab.llm.pages import learn
+
+    page = "<nav><a>Home</a></nav><{0}><p>Some text, with words.</p></{0}><footer>End</footer>"
+    data = [(i, page.format("article" if i % 40 == 0 else "div")) for i in range(200)]
+    data += [(None, None), (1_000, None), (1_001, "<!-- <article> --><p>x</p>")]
+    pages = rows(data, "page_id long, html string")
+    few = learn(pages, rows=5)
+    assert few.weights.any() and (few.weights == learn(pages.where("page_id % 40 = 0 AND page_id < 1000"), rows=5).weights).all()
+
+
+def test_pages_without_labels_keep_their_text(spark, rows):
+    from seasonlab.llm.pages import extract_pages
+
+    pages = rows([(1, "u", "<div>One.</div><div>Two.</div>"), (2, "u", None)], "page_id long, url string, html string")
+    assert rows_of(extract_pages(pages)) == Counter({(1, "u", "One.\nTwo.", 9): 1, (2, "u", "", 0): 1})
+
+
 def test_blocks_of_broken_markup():
     from seasonlab.llm.pages import blocks_of
 
