@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField
 
@@ -465,15 +465,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, all columns, of which each group of near duplicates keeps the smallest id.
+    """The rows, all columns, of which each group of near duplicates keeps one.
 
-    Of rows that share this id as well, the first text by its hash stays; rows without an
-    id or without words all stay.
+    It is the one with the smallest id, a null id being the largest, then by its text's
+    hash. Groups are of texts, whatever ids their rows share; rows without words all stay.
     """
-    found = near_duplicates(docs, id_col, text_col).where("doc_id IS NOT NULL AND n_shingles > 0 AND doc_id <> component_id")
-    drop = found.select(F.col("doc_id").alias("_dropped")).distinct()
-    left = docs.join(drop, F.col(id_col).cast("long") == F.col("_dropped"), "left_anti")
-    order = Window.partitionBy(F.col(id_col)).orderBy(F.xxhash64(F.col(text_col)))
-    numbered = left.withColumn("_place", F.row_number().over(order))
-    worded = F.coalesce(F.col(text_col).rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
-    return numbered.where((F.col("_place") == 1) | F.col(id_col).isNull() | ~worded).drop("_place")
+    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "near-numbered")
+    named = numbered.select("_row", F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    printed = with_sets(named, "text").select("_row", "doc_id", "n_shingles", "digest", "often", F.xxhash64("text").alias("print"))
+    rows = stored(printed, "near-rows")
+    labels = linked_sets(named, rows, "doc_id", "text")
+    worded = F.col("n_shingles") > 0
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "print", "_row").alias("place")
+    whole = rows.where(worded).groupBy("digest").agg(F.min(place).alias("place")).join(labels, F.col("digest") == F.col("node"), "left")
+    first = whole.groupBy(F.coalesce("component", "digest").alias("of")).agg(F.min("place").alias("place"))
+    kept = first.select("place._row").unionByName(rows.where(~worded).select("_row"))
+    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)

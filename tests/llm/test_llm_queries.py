@@ -329,6 +329,17 @@ def test_pages_without_labels_keep_their_text(spark, rows):
     assert rows_of(extract_pages(pages)) == Counter({(1, "u", "One.\nTwo.", 9): 1, (2, "u", "", 0): 1})
 
 
+def test_one_of_each_group_stays_whatever_ids_rows_share(spark, rows):
+    from seasonlab.llm.jaccard import keep_one
+
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    data = [(1, a), (1, b), (1, ""), (2, b + " end"), (2, c), (None, d), (None, d), (None, d + " end"), (3, None)]
+    found = rows_of(keep_one(rows(data, "doc_id long, text string")))
+    by_text = {t for _, t in found}
+    assert {(1, a), (1, b), (1, ""), (2, c), (3, None)} <= set(found) and len(found) == 6
+    assert len(by_text & {d, d + " end"}) == 1 and (2, b + " end") not in found
+
+
 def test_blocks_of_broken_markup():
     from seasonlab.llm.pages import blocks_of
 
