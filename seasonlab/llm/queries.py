@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +14,13 @@ from seasonlab.llm.langid import identify
 from seasonlab.llm.lines import fuzzy_lines
 from seasonlab.llm.mixing import mix
 from seasonlab.llm.pages import extract_pages
+from seasonlab.llm.periodic import periodic_runs
 from seasonlab.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 from seasonlab.llm.shards import shard_by_size
 from seasonlab.llm.suffixes import without_repeats
+from seasonlab.llm.tokens import chars_within, prefix_counts
 from seasonlab.llm.toxicity import toxicity
+from seasonlab.llm.whitening import whiten
 
 MIX_SQL = r"""
 WITH rows AS (
@@ -154,3 +158,49 @@ def op9_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beside the count, how many characters a budget of 512 tokens holds."""
+    counted = prefix_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"), chars_within(F.lit(512)).alias("chars_within_512"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth, by crc32 of the id, have words that repeat from some word on.
+
+    Texts that are changed come back with single spaces; a null id changes nothing.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    plan = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"), F.floor(h / 10).alias("g"))
+    n = F.size("w").cast("long")
+    plan = plan.withColumn("a", F.when(n > 0, F.col("g") % n))
+    plan = plan.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    moved = F.expr("transform(sequence(0L, size(w) - 1L), i -> w[CAST(IF(i < a, i, a + (i - a) % p) AS INT)])")
+    return plan.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(moved, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("short"), r["start"].alias("start"), r["period"].alias("period"))))
+    best = found.select("*", longest.alias("best"), F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")).alias("lines"))
+    length = -F.col("best.short")
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        length.alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(-1000 * best.short) div best.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -52,6 +52,16 @@ def odd_items(rows: list[dict]) -> list[dict]:
     return items + [{"item_id": 40, "text": "one"}, {"item_id": None, "text": "one"}]
 
 
+def odd_embeddings() -> list[dict]:
+    """Null, empty, short, long and non-finite vectors, copies, a hot vector, equal and null ids."""
+    rng = random.Random(3)
+    vectors = [[rng.uniform(-1, 1) * (k + 1) for k in range(6)] for _ in range(60)]
+    vectors += [vectors[5]] * 30 + [[v + 1e-6 for v in vectors[7]]]
+    vectors += [None, [], [1.0], [0.5] * 7, [None] * 6, [0.1, None, 0, 0, 0, 0], [float("nan")] * 6, [float("inf"), 0, 0, 0, 0, 0], [1e30] + [0.0] * 5]
+    rows = [{"vec_id": None if i % 17 == 3 else i // 2, "embedding": v, "label": i % 3, "_x": i, "n": i, "component": i} for i, v in enumerate(vectors)]
+    return [*rows, dict(rows[8])]
+
+
 def write_tables(folder: str, rows: list[dict], items: list[dict]) -> str:
     labels = [{"doc_id": r["doc_id"], "quality": 1, "toxic": k % 4 // 3} for k, r in enumerate(rows)] + [{"doc_id": None, "quality": None, "toxic": None}]
     page = "<html><body><nav><a href='/'>Home</a></nav><article><h1>Head</h1><p>Some text, with  words.\n And more &amp; more.</p></article><footer>End</footer></body></html>"
@@ -61,6 +71,7 @@ def write_tables(folder: str, rows: list[dict], items: list[dict]) -> str:
         "benchmark": (items, pa.schema([("item_id", pa.int64()), ("text", pa.string())])),
         "labels": (labels if rows else [], pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("toxic", pa.int32())])),
         "pages": (pages if rows else [], pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())])),
+        "embeddings": (odd_embeddings() if rows else [], pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("label", pa.int32()), ("_x", pa.int64()), ("n", pa.int64()), ("component", pa.int64())])),
     }
     for name, (data, schema) in kinds.items():
         pq.write_table(pa.Table.from_pylist(data, schema=schema), f"{folder}/{name}.parquet")
