@@ -400,6 +400,49 @@ GROUP BY 1, 2, 3""",
         "SELECT * FROM profile_set WHERE league NOT IN (SELECT league FROM profiles WHERE num_others = -1)",
         ("profile_set",),
     ),
+    "known_set": (
+        """SELECT *, bucket % 100 < 80 AS is_train, bucket % 500 // 100 AS fold FROM (
+  SELECT league, team, pos, CASE WHEN pos = 'FLEX' THEN spare ELSE pts END AS y,
+    [a_pred_points, a_std_error, CASE WHEN pos IN ('LARGE', 'MEDIUM') THEN b_pred_points ELSE 0e0 END,
+     CASE WHEN pos IN ('LARGE', 'MEDIUM') THEN b_std_error ELSE 0e0 END, CAST(num_others AS DOUBLE), avg_pred_points_other, avg_std_error_other] AS x,
+    CAST(concat('0x', substr(md5(concat('_', CAST(league AS VARCHAR), '_', team)), 1, 8)) AS BIGINT) AS bucket
+  FROM usable_set LEFT JOIN (SELECT league, team, CAST(sum(CAST(pts AS DECIMAL(24,8))) AS DOUBLE) AS spare FROM outcomes WHERE pos NOT IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO') GROUP BY 1, 2) USING (league, team)
+) WHERE y IS NOT NULL""",
+        ("usable_set", "outcomes"),
+    ),
+    # every position's lasso, its penalty by cross-validation, solved by coordinate descent
+    "models": (
+        """WITH RECURSIVE scales AS (SELECT pos, list(CASE WHEN top > 0 THEN top ELSE 1e0 END ORDER BY j) AS scale FROM (
+  SELECT pos, j, max(abs(x[j])) AS top FROM known_set, range(1, 8) t(j) WHERE is_train GROUP BY 1, 2) GROUP BY 1),
+rows AS (SELECT known_set.*, [1e0, y] || [x[j] / scale[j] for j in range(1, 8)] AS v FROM known_set JOIN scales USING (pos)),
+cells AS (SELECT pos, fold, i, j, sum(v[i] * v[j]) AS s FROM rows, range(1, 10) a(i), range(1, 10) b(j) WHERE is_train GROUP BY ALL),
+folds AS (SELECT DISTINCT pos, fold FROM cells UNION ALL SELECT DISTINCT pos, -1 FROM cells),
+parts AS (SELECT f.pos, f.fold, i, j, sum(s) AS s FROM folds f JOIN cells c ON f.pos = c.pos AND f.fold <> c.fold GROUP BY ALL),
+centred AS (SELECT p.pos, p.fold, p.i, p.j, p.s / n.s - a.s * b.s / (n.s * n.s) AS c FROM parts p
+  JOIN parts n ON n.pos = p.pos AND n.fold = p.fold AND n.i = 1 AND n.j = 1
+  JOIN parts a ON a.pos = p.pos AND a.fold = p.fold AND a.i = 1 AND a.j = p.i
+  JOIN parts b ON b.pos = p.pos AND b.fold = p.fold AND b.i = 1 AND b.j = p.j WHERE p.i > 1 AND p.j > 1),
+lines AS (SELECT pos, fold, i, list(c ORDER BY j) AS c FROM centred WHERE j > 2 GROUP BY ALL),
+means AS (SELECT pos, fold, list(m ORDER BY j) AS m FROM (
+  SELECT p.pos, p.fold, p.j, p.s / n.s AS m FROM parts p JOIN parts n ON n.pos = p.pos AND n.fold = p.fold AND n.i = 1 AND n.j = 1 WHERE p.i = 1) GROUP BY ALL),
+systems AS (SELECT pos, fold, list(c ORDER BY i) FILTER (i > 2) AS c, any_value(c) FILTER (i = 2) AS by_y FROM lines GROUP BY ALL),
+tops AS (SELECT pos, list_max([CASE WHEN c[j][j] > 1e-12 THEN abs(by_y[j]) ELSE 0e0 END for j in range(1, 8)]) AS top FROM systems WHERE fold = -1),
+steps(pos, fold, k, step, w) AS (
+  SELECT s.pos, s.fold, k, 0, [0e0 for j in range(1, 8)] FROM systems s, range(0, 100) g(k)
+  UNION ALL
+  SELECT t.pos, t.fold, k, step + 1, list_concat(list_concat(w[1 : j - 1], [CASE WHEN c[j][j] > 1e-12
+    THEN sign(r) * greatest(abs(r) - top * pow(1e1, -3e0 * k / 99), 0e0) / c[j][j] ELSE 0e0 END]), w[j + 1 : 7])
+  FROM (SELECT steps.*, s.c, tops.top, step % 7 + 1 AS j, s.by_y[step % 7 + 1] - list_dot_product(s.c[step % 7 + 1], w) + s.c[step % 7 + 1][step % 7 + 1] * w[step % 7 + 1] AS r
+        FROM steps JOIN systems s USING (pos, fold) JOIN tops USING (pos) WHERE step < 560) t),
+fitted AS (SELECT pos, fold, k, w, m[2] - list_dot_product(m[3 : 9], w) AS intercept FROM steps JOIN means USING (pos, fold) WHERE step = 560),
+held AS (SELECT pos, fold, list(s ORDER BY i) AS s FROM (SELECT pos, fold, i, list(s ORDER BY j) AS s FROM cells GROUP BY ALL) GROUP BY ALL),
+errors AS (SELECT pos, k, sum(list_sum([u[i] * list_dot_product(s[i], u) for i in range(1, 10)]) / s[1][1]) AS error
+  FROM (SELECT f.pos, k, s, list_concat([-intercept, 1e0], [-a for a in w]) AS u FROM fitted f JOIN held h ON h.pos = f.pos AND h.fold = f.fold) GROUP BY ALL),
+chosen AS (SELECT pos, min(k) AS k FROM (SELECT *, min(error) OVER (PARTITION BY pos) AS least FROM errors) WHERE error <= least * (1 + 1e-7) GROUP BY 1)
+SELECT pos, n, top, top * pow(1e1, -3e0 * k / 99) AS penalty, intercept, w, scale FROM chosen JOIN fitted USING (pos, k) JOIN tops USING (pos) JOIN scales USING (pos)
+JOIN (SELECT pos, count(*) AS n FROM known_set WHERE is_train GROUP BY 1) USING (pos) WHERE fold = -1""",
+        ("known_set",),
+    ),
 }
 
 

@@ -233,6 +233,13 @@ def log_row(spark: SparkSession, name: str, description: str, degree: int, fit:
     return spark.createDataFrame([row], LOG_SCHEMA)
 
 
+def log_of(found: DataFrame, name: str, description: str, degree: int) -> DataFrame:
+    """Lines of the results log from a table of qualities per position."""
+    told = {"Name": F.lit(name), "Description": F.lit(description), "Model": F.lit(f"lasso_poly{degree}"), "TimeToFinish": F.lit(None).cast("double"), "Position": F.col("pos")}
+    rows = found.withColumns(told)
+    return rows.select("Name", "Description", "Model", "TimeToFinish", "TrainR2", "TestR2", "Position")
+
+
 def degree_sweep(spark: SparkSession, sets: dict[str, tuple[str, DataFrame, Sequence[str], Sequence[int]]], y: str, identifiers: list[str], **options) -> tuple[DataFrame, dict[tuple[str, int], Fit]]:
     """Fit every feature set (description, rows, features, degrees) at every degree."""
     fits, rows = {}, []
