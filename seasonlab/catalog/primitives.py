@@ -31,6 +31,7 @@ from seasonlab.operators import (
     fd_violations,
     fill_from,
     group_sum,
+    full_join,
     join_indicator,
     key_violations,
     map_values,
@@ -200,6 +201,23 @@ def join_indicator_sides(spark: SparkSession, sf: str) -> DataFrame:
     return join_indicator(seasons, rosters, ["player_id", "season"])
 
 
+@query(
+    """WITH a AS (SELECT CASE event_id % 3 WHEN 0 THEN 0 WHEN 1 THEN event_id END AS k, event_id, value FROM events),
+b AS (SELECT CASE WHEN event_id % 7 = 0 THEN event_id WHEN event_id = 6 THEN 0 WHEN event_id % 5 = 0 THEN -event_id END AS k, user_id FROM events
+  WHERE event_id % 7 = 0 OR event_id = 6 OR event_id % 5 = 0 OR event_id = 8)
+SELECT coalesce(a.k, b.k) AS k, event_id, value, user_id, CASE WHEN b.user_id IS NULL THEN 'left_only' WHEN a.event_id IS NULL THEN 'right_only' ELSE 'both' END AS found
+FROM a FULL JOIN b ON a.k IS NOT DISTINCT FROM b.k"""
+)
+def join_full_skewed(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of the rows has one key and a third has none; null keys meet each other."""
+    i = F.col("event_id")
+    events = table(spark, sf, "events")
+    left = events.select(F.when(i % 3 == 0, 0).when(i % 3 == 1, i).alias("k"), "event_id", "value")
+    right = events.where((i % 7 == 0) | (i == 6) | (i % 5 == 0) | (i == 8))
+    right = right.select(F.when(i % 7 == 0, i).when(i == 6, 0).when(i % 5 == 0, -i).alias("k"), "user_id")
+    return full_join(left, right, ["k"], "found")
+
+
 @query(
     """SELECT coalesce(n.player_id, p.player_id) AS player_id, coalesce(n.season, p.season + 1) AS season,
   n.pos, n.tm, CAST(n.pts AS DOUBLE) AS pts, p.tm AS prv_tm, CAST(p.pts AS DOUBLE) AS prv_pts,

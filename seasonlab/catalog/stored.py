@@ -9,14 +9,21 @@ from seasonlab.catalog.registry import query
 from seasonlab.catalog.views import table
 from seasonlab.session import new_path
 from seasonlab.streaming import ingest_stream
+from seasonlab.operators import key_violations
 from seasonlab.sources import (
+    CheckFailed,
     append_table,
+    complete,
     ingest_new,
+    missing_ranges,
     page_links,
     page_tables,
+    publish,
     read_csv,
     read_csv_years,
+    read_current,
     read_tables,
+    rows_in_ranges,
     table_counts,
     write_csv,
 )
@@ -86,6 +93,56 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("event_id", "user_id", "value")
 
 
+@query("SELECT event_id, user_id, CASE WHEN event_type = 'click' THEN value * 2e0 ELSE value END AS value, event_type FROM events")
+def published_swap(spark: SparkSession, sf: str) -> DataFrame:
+    """A table checked before it counts, a partition replaced by what is read from it, and
+    a write that fails its check and changes nothing."""
+    path = new_path(spark, "events-published")
+    unique = [("repeated ids", lambda rows: key_violations(rows, ["event_id"]))]
+    publish(table(spark, sf, "events").select("event_id", "user_id", "value", "event_type"), path, unique, ["event_type"])
+    clicks = read_current(spark, path).where("event_type = 'click'")
+    publish(clicks.withColumn("value", F.col("value") * 2), path, unique, ["event_type"], replace="partitions")
+    now = read_current(spark, path)
+    try:
+        publish(now.unionByName(now), path, unique, ["event_type"])
+    except CheckFailed:
+        pass
+    return read_current(spark, path)
+
+
+def _paged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Events as rows of four sources by offset, a store of them with holes, and what is expected
+    of each source; a fifth one has not been read at all."""
+    events = table(spark, sf, "events").select((F.col("event_id") % 4).alias("shard"), F.floor(F.col("event_id") / 4).alias("place"), "event_id", "value")
+    hole = (F.col("event_id") % 97 < 3) | ((F.col("shard") == 2) & F.col("place").between(1000, 1400)) | (F.col("shard") == 3)
+    expected = events.groupBy("shard").agg(F.min("place").alias("first"), (F.max("place") + 5).alias("last"))
+    return events, events.where(~hole), expected
+
+
+@query(
+    """WITH paged AS (SELECT event_id % 4 AS shard, CAST(floor(event_id / 4e0) AS BIGINT) AS place, event_id FROM events),
+have AS (SELECT DISTINCT shard, place FROM paged WHERE NOT (event_id % 97 < 3 OR (shard = 2 AND place BETWEEN 1000 AND 1400) OR shard = 3)),
+fences AS (SELECT shard, place FROM have UNION ALL SELECT shard, min(place) - 1 FROM paged GROUP BY 1 UNION ALL SELECT shard, max(place) + 6 FROM paged GROUP BY 1)
+SELECT shard, place + 1 AS start, next - 1 AS "end" FROM (SELECT *, lead(place) OVER (PARTITION BY shard ORDER BY place) AS next FROM fences) WHERE next > place + 1"""
+)
+def missing_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    _, stored, expected = _paged(spark, sf)
+    return missing_ranges(stored, expected, ["shard"], "place", block=512)
+
+
+@query("SELECT event_id % 4 AS shard, CAST(floor(event_id / 4e0) AS BIGINT) AS place, event_id, value FROM events")
+def completed_store(spark: SparkSession, sf: str) -> DataFrame:
+    """A store with holes, to which a run adds only what is missing, and a second run nothing."""
+    source, stored, expected = _paged(spark, sf)
+    path = new_path(spark, "events-by-offset")
+    publish(stored, path)
+    for _ in range(2):
+        now = read_current(spark, path)
+        more = complete(now, expected, ["shard"], "place", lambda ranges: rows_in_ranges(source, ranges, ["shard"], "place"))
+        publish(more, path, replace="none")
+    return read_current(spark, path)
+
+
 DECODED = "replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
 
 

@@ -17,6 +17,7 @@ from seasonlab.operators.groups import (
 from seasonlab.operators.joins import (
     drop_bad_groups,
     except_keys,
+    full_join,
     join_indicator,
     join_to_groups,
     prior_period,
@@ -45,6 +46,7 @@ __all__ = [
     "drop_non_numeric",
     "except_keys",
     "fd_violations",
+    "full_join",
     "fill_from",
     "group_sum",
     "join_indicator",

@@ -3,7 +3,7 @@
 A filter on ``row_number() <= n`` lets Spark cut every group to n rows in each
 map task before the shuffle (WindowGroupLimit), so top-n work does not depend on
 the size of a group. Numbering all rows of a group has no such cut;
-:func:`number_rows` cuts the rows into even ranges instead, whatever their number.
+:func:`number_rows` shuffles the rows into even ranges instead, whatever their number.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DRAWN_PER_RANGE = 16
+from seasonlab.session import new_path
 
 Order = list[tuple[str, bool]]  # (column, ascending); nulls rank as the lowest value
 
@@ -70,54 +70,42 @@ def _rank(df: DataFrame, column: str, asc: bool) -> Column:
     return F.struct(col.isNull().alias("unknown"), value.alias("value")).alias(column)
 
 
-def _count_not_above(cuts: str, key: str, most: int) -> Column:
-    """How many of a sorted array's values are not above the row's key, up to ``most``; binary search."""
-    steps, step = [], 1
-    while step <= most:
-        steps.insert(0, step)
-        step *= 2
+def ranged(df: DataFrame, keys: list[str], order: Order, ranges: int | None = None) -> tuple[DataFrame, str]:
+    """The rows, sorted by (keys, order) over even ranges, as a written table, and the name
+    of its column of places: the number of the range times 2**33, plus the place in it.
 
-    def move(at: Column, s: Column) -> Column:
-        fits = (at + s <= F.size(cuts)) & (F.get(F.col(cuts), at + s - 1) <= F.col(key))
-        return F.when(fits, at + s).otherwise(at)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), move)
-
-
-def in_ranges(df: DataFrame, keys: list[str], order: Order, ranges: int | None = None) -> DataFrame:
-    """Rows with the number of their range of (keys, order), column ``_range``.
-
-    The cuts between ranges are every ``DRAWN_PER_RANGE``-th of a sorted sample that a
-    hash of (keys, order) draws from all rows, so they are the same wherever the plan is
-    run, and again if a part of it is lost. Row count and cuts are subqueries of the plan.
+    One range shuffle, whose cuts Spark samples; a large group lies in several ranges.
+    Written, since places must be the same for all that reads them.
     """
-    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], *[_rank(df, c, asc).alias(f"o{i}") for i, (c, asc) in enumerate(order)])
-    keyed = df.withColumn("_key", key)
-    total = df.agg(F.count(F.lit(1))).scalar()
-    drawn = keyed.where(F.pmod(F.xxhash64("_key"), F.lit(2**30)) / 2.0**30 * total < ranges * DRAWN_PER_RANGE)
-    sample = drawn.agg(F.array_sort(F.collect_list("_key")).alias("keys"))
-    cuts = sample.select(F.filter("keys", lambda _, i: i % DRAWN_PER_RANGE == DRAWN_PER_RANGE - 1)).scalar()
-    placed = keyed.withColumn("_cuts", cuts).withColumn("_range", _count_not_above("_cuts", "_key", 2 * ranges))
-    return placed.select(*df.columns, "_range")
+    place = "_place"
+    while place in df.columns:
+        place = f"_{place}"
+    sort = [*[F.col(k).asc() for k in keys], *_sort(order)]
+    parts = df.repartitionByRange(ranges, *sort) if ranges else df.repartitionByRange(*sort)
+    path = new_path(df.sparkSession, "ranged")
+    parts.sortWithinPartitions(*sort).withColumn(place, F.monotonically_increasing_id()).write.parquet(path)
+    return df.sparkSession.read.schema(parts.withColumn(place, F.lit(0).cast("long")).schema).parquet(path), place
 
 
 def number_rows(df: DataFrame, keys: list[str], order: Order, name: str = "rn") -> DataFrame:
     """``row_number`` (a long) of every row, without one task holding a large group.
 
-    The rows are cut into even ranges of (keys, order): rows per group and range are
-    counted, the counts of a group's earlier ranges added up, and rows numbered inside
-    their range. ``order`` must be total within a group.
+    The rows are shuffled once, into even ranges of (keys, order), and written. The rest is
+    arithmetic on places: a row's number is its place less the first of its group in its
+    range, plus the sizes of the group's earlier ranges. Those are a row per group and
+    range, joined back; the written rows are not sorted again. ``order`` must be total
+    within a group.
     """
-    rows = in_ranges(df, keys, order)
-    counts = rows.groupBy(*keys, "_range").count()
-    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
+    rows, place = ranged(df, keys, order)
+    at = F.shiftright(place, 33)
+    firsts = rows.groupBy(*keys, at.alias("_r")).agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    starts = firsts.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_range").alias("_r"),
-        F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_before"),
+        F.col("_r"),
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
-    joined = rows.join(starts, same & (F.col("_range") == F.col("_r")))
-    inside = Window.partitionBy(*keys, "_range").orderBy(*_sort(order))
-    return joined.withColumn(name, F.row_number().over(inside) + F.col("_before")).select(*df.columns, name)
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(starts[f"_k{i}"]) for i, k in enumerate(keys)])
+    joined = rows.join(starts, same & (F.shiftright(rows[place], 33) == starts["_r"]))
+    numbers = (rows[place] + starts["_shift"]).alias(name)
+    return joined.select(*[rows[c] for c in df.columns if c != name], numbers)

@@ -15,20 +15,23 @@ RATING_TOP = 301.0
 
 
 def softmax_group(df: DataFrame, keys: list[str], rating: str, temperature: float, name: str = "probability") -> DataFrame:
-    """Softmax of the turned-around rating within a group.
+    """Softmax of the turned-around rating within a group, at any temperature above 0.
 
-    One aggregate, combined before the shuffle, and one join; not a window: a group may
-    be a large share of the table. The turned-around rating's top is the same in all
-    groups and cancels out, so no group's own top is needed: ratings from 0 to
-    ``RATING_TOP`` and beyond keep within what a double can hold unless the temperature
-    is very low, which is refused.
+    A group's weights are added up as (whole part of the exponent, sum of what is left of
+    the exponentials): parts of one exponent add up, combined before the shuffle, and a
+    group's parts meet scaled by its largest exponent, so nothing overflows and the sum is
+    at least one half. One pass over the rows and one join; not a window: a group may be a
+    large share of the table. A null rating has a null probability and no weight.
     """
-    if temperature < 0.5:
-        raise ValueError(f"a temperature of {temperature} takes ratings out of range")
-    weight = F.exp(-F.col(rating) / F.lit(float(temperature)))
-    rows = df.withColumn("_e", weight)
-    sums = rows.groupBy(*keys).agg(F.sum("_e").alias("_total"))
-    return join_to_groups(rows, sums, keys).withColumn(name, F.col("_e") / F.col("_total")).drop("_e", "_total")
+    if not temperature > 0:
+        raise ValueError(f"a temperature must be above 0, not {temperature}")
+    x = (F.lit(RATING_TOP) - F.col(rating).cast("double")) / F.lit(float(temperature))
+    rows = df.withColumn("_x", x)
+    parts = rows.where(F.col("_x").isNotNull()).groupBy(*keys, F.rint("_x").alias("_whole")).agg(F.sum(F.exp(F.col("_x") - F.rint("_x"))).alias("_part"))
+    tops = parts.groupBy(*keys).agg(F.max("_whole").alias("_top"))
+    scaled = join_to_groups(parts, tops, keys).withColumn("_share", F.col("_part") * F.exp(F.col("_whole") - F.col("_top")))
+    sums = scaled.groupBy(*keys).agg(F.first("_top").alias("_top"), F.sum("_share").alias("_total"))
+    return join_to_groups(rows, sums, keys).withColumn(name, F.exp(F.col("_x") - F.col("_top")) / F.col("_total")).drop("_x", "_top", "_total")
 
 
 def sampled_order(pool: DataFrame, keys: list[str], key: str, rating: str, temperature: float, samples: int, picks: int, teams: int = 10, seed: int = 0) -> DataFrame:

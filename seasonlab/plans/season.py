@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from seasonlab.functions import ends_with_tm, first_digits, flag, one_hot, split_element
 from seasonlab.functions.scalars import MULTI_TEAM_SUFFIX
-from seasonlab.operators import best_per_key, group_sum, join_indicator, join_to_groups, map_values, top_n
+from seasonlab.operators import best_per_key, full_join, group_sum, join_indicator, join_to_groups, map_values, top_n
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -76,7 +76,7 @@ def enrich_full_outer(df: DataFrame, roster: DataFrame, keys: list[str], shared:
     """Add a roster: shared columns are filled from it, its other columns are added,
     and entities only the roster knows become new rows."""
     renamed = roster.withColumnsRenamed({c: f"_{c}" for c in shared})
-    joined = df.join(renamed, keys, "full")
+    joined = full_join(df, renamed, keys)
     filled = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in shared})
     filled = filled.drop(*[f"_{c}" for c in shared])
     return changed_team(filled, team, prior).where(F.col(required).isNotNull()).distinct()

@@ -10,6 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# The largest spans of a cell in the HTML standard.
+MOST_COLUMNS = 1000
+MOST_ROWS = 65534
+
+
 class _LinkReader(HTMLParser):
     """Collects address and text of every link, whatever its other attributes and markup."""
 
@@ -81,8 +86,8 @@ class _TableReader(HTMLParser):
         elif self.depth == 1 and tag in ("td", "th") and self.rows:
             row = self.rows[-1]
             text = [""]
-            for _ in range(_span(values.get("colspan"))):
-                if (down := _span(values.get("rowspan")) - 1) > 0:
+            for _ in range(_span(values.get("colspan"), MOST_COLUMNS)):
+                if (down := _span(values.get("rowspan"), MOST_ROWS) - 1) > 0:
                     self.below[len(row[0])] = (down, text)
                 row[0].append(text)
             row[1] = row[1] or values.get(self.marker)
@@ -117,8 +122,11 @@ class _TableReader(HTMLParser):
             self.rows[-1][0][-1][0] += data
 
 
-def _span(value: str | None) -> int:
-    return max(1, int(value)) if value and value.isdigit() else 1
+def _span(value: str | None, most: int) -> int:
+    """A cell's span as the HTML standard reads it: 1 unless it is a number above 0, ``most`` at the utmost."""
+    if not value or not value.isascii() or not value.isdigit():
+        return 1
+    return most if len(value) > 9 else min(max(1, int(value)), most)
 
 
 def _read_table(text: str | None, table_id: str, marker: str) -> _TableReader:

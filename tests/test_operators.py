@@ -16,6 +16,7 @@ from seasonlab.operators import (
     drop_bad_groups,
     drop_non_numeric,
     except_keys,
+    full_join,
     fd_violations,
     fill_from,
     group_sum,
@@ -68,7 +69,8 @@ def test_numbers_equal_the_plain_window(hot, ascending):
 
 
 def test_a_large_group_is_spread_over_ranges(hot):
-    rows = ranking.in_ranges(hot, ["g"], [("v", True), ("id", True)], 60)
+    rows, place = ranking.ranged(hot, ["g"], [("v", True), ("id", True)], 60)
+    rows = rows.withColumn("_range", F.shiftright(place, 33))
     counts = [r["count"] for r in rows.where("g = 0").groupBy("_range").count().collect()]
     assert len(counts) > 15 and max(counts) < 1000
     ends = rows.where("g = 0").groupBy("_range").agg(F.min(F.struct("v", "id")).alias("a"), F.max(F.struct("v", "id")).alias("b"))
@@ -80,7 +82,15 @@ def test_a_value_held_by_all_rows_is_divided_too(spark):
     df = spark.range(5000).select(F.lit(1).alias("g"), F.lit(7).alias("v"), "id")
     order = [("v", False), ("id", True)]
     assert number_rows(df, ["g"], order).where("rn <> id + 1").count() == 0
-    assert ranking.in_ranges(df, ["g"], order, 30).select("_range").distinct().count() > 20
+    rows, place = ranking.ranged(df, ["g"], order, 30)
+    assert rows.select(F.shiftright(place, 33)).distinct().count() > 20
+    assert rows.columns == [*df.columns, "_place"] and ranking.ranged(rows, ["g"], order)[1] == "__place"
+
+
+def test_numbers_take_the_place_of_a_column(hot):
+    out = number_rows(hot.withColumn("_r", F.lit("x")).withColumn("_first", F.lit(1)).withColumn("rn", F.lit("y")), ["g"], [("id", True)])
+    assert out.columns == ["g", "v", "id", "_r", "_first", "rn"] and out.where("g = 1 AND id = 1").first().rn == 1
+    assert out.where("_r <> 'x' OR _first <> 1").count() == 0
 
 
 def test_numbering_an_empty_table(hot):
@@ -292,3 +302,60 @@ def test_numbering_random_orders(spark):
     order = [("a", False), ("b", False), ("i", True)]
     plain = plain_numbers(df, order).select("i", "rn").collect()
     assert sorted(number_rows(df, ["g"], order).select("i", "rn").collect()) == sorted(plain)
+
+
+def plain_full(left, right, found):
+    """Full outer join on null-safe keys, row by row."""
+    out, met = [], set()
+    for row in left:
+        partners = [(j, r) for j, r in enumerate(right) if r[:2] == row[:2]]
+        met |= {j for j, _ in partners}
+        out += [(*row, *r[2:], "both") for _, r in partners] or [(*row, None, "left_only")]
+    out += [(*r[:2], None, *r[2:], "right_only") for j, r in enumerate(right) if j not in met]
+    return sorted(out, key=repr) if found else sorted((r[:-1] for r in out), key=repr)
+
+
+@pytest.mark.parametrize("least", [0, 3, 10_000])
+@pytest.mark.parametrize("salts", [1, 5])
+def test_full_join_equals_the_plain_one(spark, monkeypatch, least, salts):
+    """Hot keys on the left, the right and both, alone and matched, null keys, equal rows."""
+    import seasonlab.operators.joins as j
+
+    monkeypatch.setattr(j, "HOT_LEAST", float(least))
+    rng = random.Random(9)
+    key = lambda: (rng.choice([None, None, 1, 1, 2, 3, 4, 5]), rng.choice([None, "a", "a", "b"]))
+    left = [(*key(), rng.randrange(4)) for _ in range(90)] + [(7, "hot", 1)] * 60 + [(8, None, 2)] * 50 + [(9, "x", 3)]
+    right = [(*key(), rng.randrange(4)) for _ in range(40)] + [(9, "x", 4)] * 55 + [(8, None, 5)] + [(10, "only", 6)] * 45
+    a, b = spark.createDataFrame(left, "k int, m string, x int"), spark.createDataFrame(right, "k int, m string, y int")
+    assert values(j.full_join(a, b, ["k", "m"], salts=salts)) == plain_full(left, right, False)
+    assert values(j.full_join(a, b, ["k", "m"], "found", salts)) == plain_full(left, right, True)
+    assert j.full_join(a, b, ["k", "m"]).columns == ["k", "m", "x", "y"]
+
+
+def test_full_join_of_empty_tables(spark, hot):
+    none = hot.where("id < 0").withColumnsRenamed({"v": "w", "id": "i"})
+    assert full_join(hot, none, ["g"]).count() == 20000 and full_join(none, hot, ["g"]).count() == 20000
+    assert full_join(none, none.withColumnsRenamed({"w": "a", "i": "b"}), ["g"]).count() == 0
+
+
+def test_no_task_of_a_full_join_holds_the_hot_keys(spark, monkeypatch):
+    """A third of the rows has one key and a third null; rows per partition after the shuffle."""
+    import seasonlab.operators.joins as j
+
+    monkeypatch.setattr(j, "HOT_LEAST", 100.0)
+    i = F.col("id")
+    key = F.when(i % 3 == 0, 0).when(i % 3 == 1, i)
+    left = spark.range(30_000).select(key.alias("k"), i.alias("x"))
+    right = spark.range(0, 30_000, 5).where("id % 3 = 1 OR id = 0").select(F.when(i > 0, i).otherwise(0).alias("k"), i.alias("y")).union(spark.createDataFrame([(None, -1)], "k long, y long"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = j.full_join(left, right, ["k"], salts=64)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 30_000 and max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
+        plain = left.join(right, left.k.eqNullSafe(right.k), "full")
+        worst = max(r["count"] for r in plain.groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert worst >= 10_000 > 1.2 * max(sizes) or max(sizes) < worst
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

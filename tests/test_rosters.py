@@ -254,3 +254,24 @@ def test_value_added_equals_profiles_with_the_candidate(spark, members):
         if team != "team_1":
             added = own + [(league, "team_1", player, pos, pred, error)]
             assert got[player] == pytest.approx(total(added, league, pos) - total(own, league, pos)), player
+
+
+@pytest.mark.parametrize("temperature", [0.01, 0.1, 0.5, 40.0, 1e6])
+def test_softmax_at_any_temperature(spark, temperature):
+    """Far ratings neither overflow nor leave a group without weight; nulls have none."""
+    import math
+
+    data = [("a", 400.0), ("a", 401.0), ("a", 401.0), ("b", -1e4), ("b", 1e5), ("c", 7.0), ("d", None), ("a", None), (None, 3.0), (None, 2.5)]
+    out = sampling.softmax_group(spark.createDataFrame(data, "s string, adp double"), ["s"], "adp", temperature)
+    assert out.columns == ["s", "adp", "probability"] and out.count() == len(data)
+    for s in ("a", "b", "c"):
+        xs = [-v / temperature for g, v in data if g == s and v is not None]
+        want = sorted(math.exp(x - max(xs)) / sum(math.exp(y - max(xs)) for y in xs) for x in xs)
+        got = sorted(r.probability for r in out.where(F.col("s") == s).where("adp IS NOT NULL").collect())
+        assert got == pytest.approx(want, abs=1e-12)
+    assert out.where("adp IS NULL AND probability IS NOT NULL").count() == 0
+
+
+def test_softmax_refuses_no_temperature(spark):
+    with pytest.raises(ValueError):
+        sampling.softmax_group(spark.createDataFrame([("a", 1.0)], "s string, adp double"), ["s"], "adp", 0.0)

@@ -167,3 +167,10 @@ def test_dimension_joins_are_not_hinted():
             if name.endswith(".py"):
                 text = open(os.path.join(base, name), encoding="utf-8").read()
                 assert "broadcast(" not in text and "localCheckpoint" not in text and "crossJoin" not in text, name
+
+
+def test_spans_have_the_limits_of_html(spark):
+    page = "<table id='t'><tr><td colspan='10000000000'>a</td></tr><tr><td colspan='²' rowspan='99999999999999999999'>b</td><td colspan='0'>c</td></tr><tr><td>d</td></tr></table>"
+    out = page_tables(spark.createDataFrame([(1, page)], "page_id int, html string"), "t", ["x", "y"]).orderBy("place").collect()
+    assert [(r.x, r.y) for r in out] == [("a", "a"), ("b", "c"), ("b", "d")]
+    assert [len(r.extra or []) for r in out] == [998, 0, 0]
