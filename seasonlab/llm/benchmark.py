@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField
 
-from seasonlab.llm.textbytes import LETTERS, LOWER, Hashes, Slice, append_columns, slices
+from seasonlab.llm.common import free_name
+from seasonlab.llm.textbytes import LETTERS, LOWER, Slice, append_columns, slices, word_hashes
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000  # of the benchmark that are held at once
@@ -100,7 +101,7 @@ def _search(part: Slice, tests: TestSuffixes):
     s, e, text = lowered.words(LETTERS)
     per_text = np.bincount(text, minlength=part.last - part.first)
     stops = np.cumsum(per_text)
-    ids = tests.numbered(Hashes(lowered.data).of(s, e))
+    ids = tests.numbered(word_hashes(lowered.data, s, e))
     keys, at = suffix_array(ids, stops[text], tests)
     which, where = occurrences(tests, keys, at)
     return text, per_text, stops, which, where
@@ -119,17 +120,11 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> It
         if held and size + len(s) > BLOCK_WORDS:
             yield TestSuffixes(held, window)
             held, size = [], 0
-        held.append((item, Hashes(data).of(s, e)))
+        held.append((item, word_hashes(data, s, e)))
         size += len(s)
     yield TestSuffixes(held, window)
 
 
-def _free(df: DataFrame, name: str) -> str:
-    while name in df.columns:
-        name = f"_{name}"
-    return name
-
-
 def matched(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW) -> tuple[DataFrame, str, str, str]:
     """Rows with three more columns, and their names: number of words, a bit per word
     that lies in an occurrence of a window, and the items with occurring windows.
@@ -140,7 +135,7 @@ def matched(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_
     (``BLOCK_WORDS`` words) is sent to the tasks at once.
     """
     spark = docs.sparkSession
-    count, bits, found = (_free(docs, n) for n in ("n_words", "hit_words", "hit_items"))
+    count, bits, found = (free_name(docs, n) for n in ("n_words", "hit_words", "hit_items"))
     out = docs
     for k, block in enumerate(_blocks(benchmark, item_col, item_text, window)):
         sent = spark.sparkContext.broadcast(block)
@@ -162,7 +157,7 @@ def matched(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_
                 packed = [np.packbits(hit[a:b]).tobytes() if n and a < b else b"" for a, b, n in zip(begin, stops, has)]
                 yield [per_text.tolist(), packed, [sorted(x) for x in items]]
 
-        names = (count, bits, found) if k == 0 else tuple(_free(out, f"{n}_{k}") for n in (count, bits, found))
+        names = (count, bits, found) if k == 0 else tuple(free_name(out, f"{n}_{k}") for n in (count, bits, found))
         fields = [StructField(names[0], LongType()), StructField(names[1], BinaryType()), StructField(names[2], ArrayType(StringType()))]
         out = append_columns(out, text_col, fields, work)
         if k:

@@ -19,6 +19,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one made of it that no column has."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def longs(values: list[int]) -> Column:
     """An array literal; made from one string so that the plan stays short."""
     if not values:

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField
 
-from seasonlab.llm.common import stored
+from seasonlab.llm.common import free_name, stored
 from seasonlab.llm.graph import components
-from seasonlab.llm.textbytes import LOWER, WHITE, Hashes, Slice, append_columns, mixed, slices
+from seasonlab.llm.textbytes import LOWER, WHITE, Slice, append_columns, mixed, slices, word_hashes
 
 WORDS = 5
 FREQUENT = 65_536  # most shingles that are put last in the order of all sets
@@ -41,7 +41,7 @@ def sets_of(part: Slice) -> tuple[np.ndarray, np.ndarray]:
     """
     data = LOWER[part.data]
     s, e, text = Slice(part.first, part.last, data, part.at).words(WHITE)
-    words = Hashes(data).of(s, e)
+    words = word_hashes(data, s, e)
     count = np.bincount(text, minlength=part.last - part.first)
     stops = np.cumsum(count)
     total = np.zeros(len(words), dtype=np.uint64)
@@ -221,14 +221,20 @@ def candidates(docs: DataFrame, text_col: str, frequent: np.ndarray, entries: in
 
 
 def members(docs: DataFrame, id_col: str, text_col: str, chosen: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(node, n, members): the sets of the chosen digests, once each, in the common order."""
+    """(node, n, members): the sets of the chosen digests, once each, in the common order.
+
+    A digest is looked up in the rows that have its id and its text's hash, so rows that
+    share an id, or have none, meet only the sets of their own text.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
-    named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = named.join(chosen, F.col("id").eqNullSafe(F.col("low"))).select("node", "n", "text")
+    named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("own", F.xxhash64("text"))
+    same = F.col("id").eqNullSafe(F.col("low")) & (F.col("own") == F.col("print"))
+    rows = named.join(chosen, same).select("node", "n", "text")
 
     def build(batches):
         import pyarrow as pa
 
+        done: set[int] = set()  # copies of a row tell nothing more
         for batch in batches:
             wanted = batch.column(0).to_numpy()
             nodes, sizes_out, out = [], [], []
@@ -238,6 +244,9 @@ def members(docs: DataFrame, id_col: str, text_col: str, chosen: DataFrame, freq
                 order = ordered(shingle, text, sent.value)
                 ends = np.cumsum(sizes)
                 for t in np.flatnonzero(keys == wanted[part.first : part.last]):
+                    if int(keys[t]) in done:
+                        continue
+                    done.add(int(keys[t]))
                     nodes.append(int(keys[t]))
                     sizes_out.append(int(sizes[t]))
                     out.append(shingle[order][ends[t] - sizes[t] : ends[t]].tobytes())
@@ -410,13 +419,14 @@ def crossing(firsts: DataFrame, tasks: int) -> DataFrame:
 
 
 def linked_sets(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, component) of all sets that are linked with another; ``rows`` has every set once."""
+    """(node, component) of all sets that are linked with another; ``rows`` has doc_id, n_shingles, digest, often, and print, the text's hash."""
     spark = docs.sparkSession
     frequent = frequent_shingles(rows)
     entries = rows.agg(F.coalesce(F.sum(F.expr("n_shingles div 5 + n_shingles div 10 + 2")), F.lit(0))).first()[0]
-    nodes = rows.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("low"))
+    low = F.min(F.struct("doc_id", "print")).alias("low")
+    nodes = rows.where("n_shingles > 0").groupBy("digest").agg(low).select("digest", F.col("low.doc_id").alias("low"), F.col("low.print").alias("print"))
     chosen = stored(candidates(docs, text_col, frequent, entries), "near-candidates")
-    chosen = chosen.join(nodes, F.col("node") == F.col("digest")).select("node", "n", "low")
+    chosen = chosen.join(nodes, F.col("node") == F.col("digest")).select("node", "n", "low", "print")
     sets = stored(members(docs, id_col, text_col, chosen, frequent), "near-sets")
 
     first = F.substring("members", F.lit(1), ((F.expr("n div 5") + 1) * 8).cast("int")).alias("first")
@@ -454,7 +464,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts as larger than any other.
     """
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = stored(with_sets(named, "text").select("doc_id", "n_shingles", "digest", "often"), "near-rows")
+    rows = stored(with_sets(named, "text").select("doc_id", "n_shingles", "digest", "often", F.xxhash64("text").alias("print")), "near-rows")
     labels = linked_sets(named, rows, "doc_id", "text")
     nodes = rows.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("low"))
     whole = nodes.join(labels, F.col("digest") == F.col("node"), "left").select("digest", "low", F.coalesce("component", "digest").alias("component"))
@@ -470,8 +480,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     It is the one with the smallest id, a null id being the largest, then by its text's
     hash. Groups are of texts, whatever ids their rows share; rows without words all stay.
     """
-    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "near-numbered")
-    named = numbered.select("_row", F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    row = free_name(docs, "_row")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "near-numbered")
+    named = numbered.select(F.col(row).alias("_row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     printed = with_sets(named, "text").select("_row", "doc_id", "n_shingles", "digest", "often", F.xxhash64("text").alias("print"))
     rows = stored(printed, "near-rows")
     labels = linked_sets(named, rows, "doc_id", "text")
@@ -479,5 +490,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "print", "_row").alias("place")
     whole = rows.where(worded).groupBy("digest").agg(F.min(place).alias("place")).join(labels, F.col("digest") == F.col("node"), "left")
     first = whole.groupBy(F.coalesce("component", "digest").alias("of")).agg(F.min("place").alias("place"))
-    kept = first.select("place._row").unionByName(rows.where(~worded).select("_row"))
-    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)
+    kept = first.select("place._row").unionByName(rows.where(~worded).select("_row")).withColumnRenamed("_row", row)
+    return numbered.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

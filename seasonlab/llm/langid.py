@@ -17,6 +17,7 @@ WINDOW = 256  # bytes of a window
 WIDTHS = (2, 3, 4)  # bytes that a filter sees
 FILTERS = 8  # of each width
 ROWS_A_LANGUAGE = 400  # most labelled rows of a language that are learnt from
+DRAWN = 4  # times as many rows pass the hash threshold, on average
 WINDOWS_A_ROW = 6
 AT_ONCE = 32  # windows that are scored together
 UNKNOWN = "und"
@@ -110,16 +111,20 @@ def cut(part: Slice) -> tuple[np.ndarray, np.ndarray]:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = ROWS_A_LANGUAGE) -> Network | None:
     """A network from rows with a language whose id is not held out; None without any.
 
-    From each language at most ``rows`` rows are taken, first by a hash of the id, and of
-    each row up to ``WINDOWS_A_ROW`` windows spread over its whole text.
+    From each language at most ``rows`` rows are taken, by a hash of id and text; equal rows
+    count once, and a null id is as good as any. A hash threshold leaves about four times as many as
+    are wanted, so no task ranks a whole language. Of each row up to ``WINDOWS_A_ROW`` windows spread over its whole text.
     """
     known = docs.where(F.col(lang_col).isNotNull() & ~held_out(F.col(id_col)) & F.coalesce(F.col(text_col).rlike("\\p{L}"), F.lit(False)))
-    named = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).cast("long").alias("id"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id", F.lit(10)), "id")
-    picked = named.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
-    picked = picked.select(F.col("lang").alias("picked_lang"), F.col("id").alias("picked_id")).distinct()
-    same = (F.col(id_col).cast("long") == F.col("picked_id")) & (F.col(lang_col) == F.col("picked_lang"))
-    texts = known.join(F.broadcast(picked), same).select(F.col("picked_lang").alias("lang"), F.col("picked_id").alias("id"), F.col(text_col).alias("text"))
+    known = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("own"))
+    named = known.select("lang", "id", "own").distinct().withColumn("turn", F.xxhash64("id", "own", F.lit(10)))
+    counts = named.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    drawn = named.join(counts, "lang").where(F.pmod("turn", F.lit(2**30)) * F.col("n") < float(DRAWN * rows * 2**30))
+    order = Window.partitionBy("lang").orderBy("turn", "id", "own")
+    picked = drawn.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows)
+    picked = picked.select(F.col("lang").alias("picked_lang"), F.col("id").alias("picked_id"), F.col("own").alias("picked_own"))
+    same = F.col("id").eqNullSafe(F.col("picked_id")) & (F.col("lang") == F.col("picked_lang")) & (F.col("own") == F.col("picked_own"))
+    texts = known.join(F.broadcast(picked), same).dropDuplicates(["lang", "id", "own"]).select("lang", "id", "text")
 
     def windows(batches):
         import pyarrow as pa
@@ -138,7 +143,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             )
 
     found = texts.mapInArrow(windows, "lang string, id long, place long, bytes binary").collect()
-    found = sorted((r.lang, r.id, r.place, bytes(r.bytes)) for r in found)
+    found = sorted(((r.lang, r.id, r.place, bytes(r.bytes)) for r in found), key=lambda r: (r[0], r[1] is None, r[1] or 0, r[2], r[3]))
     if not found:
         return None
     languages = sorted({r[0] for r in found})

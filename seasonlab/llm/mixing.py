@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seasonlab.llm.common import last_at_most, stored
+from seasonlab.llm.common import free_name, last_at_most, stored
 
 GOLDEN = (5**0.5 - 1) / 2
 CHUNK = 65_536  # slots that are ranked together
@@ -62,7 +62,8 @@ def streams(sized: DataFrame, rows: int) -> DataFrame:
 
 
 def schedule(sources: DataFrame, block: int) -> DataFrame:
-    """Slots as (src, block, lo, hi): the tokens of a source's stream that a slot takes.
+    """Slots as (src, block, lo, hi, slot): the tokens of a source's stream that a slot takes,
+    and its place in the schedule.
 
     The n-th point of the golden-ratio sequence falls into a source's part of the
     cumulative targets; a source's slots, ranked, take its blocks in turn and start
@@ -89,7 +90,7 @@ def schedule(sources: DataFrame, block: int) -> DataFrame:
     counts = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     inside = Window.partitionBy("src", "chunk").orderBy("id")
     ranked = drawn.withColumn("k", F.row_number().over(inside) - 1).join(counts, ["src", "chunk"])
-    ranked = ranked.select("src", (F.col("k") + F.col("before")).alias("k"))
+    ranked = ranked.select("src", (F.col("k") + F.col("before")).alias("k"), F.col("id").alias("slot"))
 
     facts = sources.where("source_size > 0").select("src", "source_size", F.floor(F.col("target") + 0.5).alias("tokens"))
     facts = facts.withColumn("blocks", F.expr(f"(source_size + {block - 1}) div {block}"))
@@ -97,22 +98,25 @@ def schedule(sources: DataFrame, block: int) -> DataFrame:
     facts = facts.withColumn("needs", needs)
     given = counts.groupBy("src").agg(F.sum("n").alias("given"))
     closing = facts.join(given, "src", "left").withColumn("given", F.coalesce("given", F.lit(0))).where("given < needs")
-    closing = closing.select("src", F.explode(F.sequence("given", F.col("needs") - 1)).alias("k"))
+    closing = closing.select("src", "given", F.explode(F.sequence("given", F.col("needs") - 1)).alias("k"))
+    closing = closing.select("src", "k", (slots + (F.col("k") - F.col("given")) * len(listed) + F.col("src")).alias("slot"))
     taken = ranked.unionByName(closing).join(facts, "src").where("k < needs")
     first = F.col("block") * block
     return taken.select(
         "src",
         F.expr("k % blocks").alias("block"),
         "source_size",
+        "slot",
         (F.col("tokens") - F.expr("k div blocks") * F.col("source_size")).alias("left"),
-    ).select("src", "block", first.alias("lo"), F.least(first + block, "source_size", "left").alias("hi"))
+    ).select("src", "block", first.alias("lo"), F.least(first + block, "source_size", "left").alias("hi"), "slot")
 
 
 def mix(docs: DataFrame, block: int = 1_024, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """Every row with what a mix of all sources takes of it.
 
     Columns: doc_id, size (words of the text; null: 0), source_size, target (both of
-    its source), taken (words, repeats counted). A source's taken words are its target
+    its source), taken (words, repeats counted), slot (where the schedule first takes words
+    of it, null if never): rows in this order are mixed evenly, whatever stretch is read. A source's taken words are its target
     rounded; no row is taken more than twice. Null sources are one source, the last.
     Rows without words are taken 0 times; a table without words has targets of 0.
     Rows with the same id and size in a source are alike and share what is taken of them.
@@ -138,8 +142,10 @@ def mix(docs: DataFrame, block: int = 1_024, id_col: str = "doc_id", text_col: s
     overlap = F.greatest(F.least("end", "hi") - F.greatest("start", "lo"), F.lit(0))
     part = F.when(F.col("hi").isNotNull(), overlap)
     met = pieces.join(slots, ["src", "block"], "left")
-    out = met.groupBy("row", "doc_id", "size", "source_size", "target").agg(F.coalesce(F.sum(part), F.lit(0)).cast("long").alias("taken"))
-    return out.select("doc_id", "size", "source_size", "target", "taken")
+    out = met.groupBy("row", "doc_id", "size", "source_size", "target").agg(
+        F.coalesce(F.sum(part), F.lit(0)).cast("long").alias("taken"), F.min(F.when(part > 0, F.col("slot"))).alias("slot")
+    )
+    return out.select("doc_id", "size", "source_size", "target", "taken", "slot")
 
 
 def repeat_to_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -148,6 +154,8 @@ def repeat_to_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Rows that share an id share what is taken of them; rows without words go.
     """
     taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col).groupBy("doc_id").agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
-    times = taken.select(F.col("doc_id").alias("_id"), F.floor(F.try_divide(F.col("_taken"), F.col("_size")) + 0.5).cast("int").alias("_times")).where("_times > 0")
-    met = docs.join(times, F.col(id_col).cast("long").eqNullSafe(F.col("_id")))
-    return met.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col("_times"))).alias("_again")).drop("_again")
+    own, number, again = (free_name(docs, n) for n in ("_id", "_times", "_again"))
+    often = F.floor(F.try_divide(F.col("_taken"), F.col("_size")) + 0.5).cast("int")
+    times = taken.select(F.col("doc_id").alias(own), often.alias(number)).where(F.col(number) > 0)
+    met = docs.join(times, F.col(id_col).cast("long").eqNullSafe(F.col(own)))
+    return met.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array_repeat(F.lit(0), F.col(number))).alias(again)).drop(again)

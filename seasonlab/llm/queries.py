@@ -116,7 +116,7 @@ def op2_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(MIX_SQL)
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"))
+    return mix(table(spark, sf_dir, "documents")).drop("slot")
 
 
 @query()

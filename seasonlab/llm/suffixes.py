@@ -310,7 +310,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     keyed = named.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
     found = repeats(keyed.select("key", "text"), length)
-    lists = found.groupBy("key").agg(F.collect_list("place").alias("places"))
+    lists = found.groupBy("key").agg(F.collect_set("place").alias("places"))  # equal rows tell the same places
 
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -93,7 +93,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """A classifier from confirmed toxic rows and unlabelled text, none of them held out.
 
     At most ``POSITIVE_ROWS`` and ``UNLABELLED_ROWS`` rows are learnt from, first by a
-    hash of the id; the class prior is the toxic share of all rows with a label that are
+    hash of the id, then by one of the text; equal rows count once. Rows without an id are
+    not learnt from. The class prior is the toxic share of all rows with a label that are
     not held out. Pieces are counted by rows in Spark and the ``FEATURES`` that differ
     most between the two samples are used. Without toxic rows every score is the prior.
     """
@@ -101,11 +102,14 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = labels.select(F.col(label_id).cast("long").alias("id"), (F.col(toxic) == 1).alias("toxic"))
     known = known.where(F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("id")))
     prior = known.agg(F.avg(F.col("toxic").cast("int"))).first()[0] or 0.0
-    order = [F.xxhash64("id", F.lit(4)), F.col("id")]
-    p = known.where("toxic").select("id").distinct().orderBy(*order).limit(POSITIVE_ROWS).select("id", F.lit(1).alias("p"), F.lit(0).alias("u"))
-    u = named.select("id").distinct().orderBy(*order).limit(UNLABELLED_ROWS).select("id", F.lit(0).alias("p"), F.lit(1).alias("u"))
-    sample = F.broadcast(p.unionByName(u).groupBy("id").agg(F.max("p").alias("p"), F.max("u").alias("u")))
-    texts = named.join(sample, "id").select("id", "p", "u", "text")
+    named = named.withColumn("own", F.xxhash64("text"))
+    keys = named.select("id", "own").distinct()
+    order = [F.xxhash64("id", F.lit(4)), F.col("id"), F.col("own")]
+    marked = keys.join(known.where("toxic").select("id").distinct(), "id")
+    p = marked.orderBy(*order).limit(POSITIVE_ROWS).select("id", "own", F.lit(1).alias("p"), F.lit(0).alias("u"))
+    u = keys.orderBy(*order).limit(UNLABELLED_ROWS).select("id", "own", F.lit(0).alias("p"), F.lit(1).alias("u"))
+    sample = F.broadcast(p.unionByName(u).groupBy("id", "own").agg(F.max("p").alias("p"), F.max("u").alias("u")))
+    texts = named.join(sample, ["id", "own"]).dropDuplicates(["id", "own"]).select("id", "p", "u", "text")
 
     def rows_with(batches):
         import pyarrow as pa
