@@ -213,47 +213,77 @@ class Field:
         return out[::-1]
 
 
+def _by_length(sizes: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pages of like length together: the block at each place of each page, and whether there is one.
+
+    Lengths within a group differ by less than twofold, so a few very long pages widen no
+    others, and all tables together have less than two places per block.
+    """
+    first = np.cumsum([0, *sizes])
+    groups: dict[int, list[int]] = {}
+    for i, n in enumerate(sizes):
+        if n:
+            groups.setdefault(n.bit_length(), []).append(i)
+    out = []
+    for _, own in sorted(groups.items()):
+        n = np.array([sizes[i] for i in own])
+        places = np.arange(n.max())
+        live = places < n[:, None]
+        out.append((np.where(live, first[own][:, None] + places, 0), live))
+    return out
+
+
+def forward_backward(unary: np.ndarray, links: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per page: the log of the sum over all labellings, each block's label chances, and
+    the expected number of each pair of neighbouring labels over all pages."""
+    n, longest = live.shape
+    ahead, behind = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
+    ahead[:, 0] = links[0] + unary[:, 0]
+    for k in range(1, longest):
+        ahead[:, k] = np.where(live[:, k, None], np.logaddexp.reduce(ahead[:, k - 1, :, None] + links[1:], axis=1) + unary[:, k], ahead[:, k - 1])
+    for k in range(longest - 2, -1, -1):
+        step_on = np.logaddexp.reduce(links[1:] + (unary[:, k + 1] + behind[:, k + 1])[:, None, :], axis=2)
+        behind[:, k] = np.where(live[:, k + 1, None], step_on, 0)
+    whole = np.logaddexp.reduce(ahead[:, -1], axis=1)
+    share = np.exp(ahead + behind - whole[:, None, None]) * live[..., None]
+    pair = np.exp(ahead[:, :-1, :, None] + links[1:] + (unary[:, 1:] + behind[:, 1:])[:, :, None, :] - whole[:, None, None, None])
+    return whole, share, (pair * live[:, 1:, None, None]).sum(axis=(0, 1))
+
+
 def fit(sequences: list[tuple[list[list[str]], list[int]]], steps: int = STEPS, rate: float = 0.1, decay: float = 1e-4) -> Field:
-    """Adam on the conditional likelihood; forward and backward sums over all pages at once."""
+    """Adam on the conditional likelihood, over pages grouped by length.
+
+    What is held is a number per feature of a block and a few per block: a very long
+    page costs what its blocks do.
+    """
     index = {f: i for i, f in enumerate(sorted({f for x, _ in sequences for b in x for f in b} | {*ASIDE, *MAIN}))}
-    n, longest = len(sequences), max((len(y) for _, y in sequences), default=0)
-    most = max((len(b) for x, _ in sequences for b in x), default=0)
-    size = len(index)
-    cells = np.full((n, longest, most + 1), size + 1)
-    live, truth = np.zeros((n, longest), dtype=bool), np.zeros((n, longest), dtype=int)
-    for i, (x, y) in enumerate(sequences):
-        for k, b in enumerate(x):
-            cells[i, k, : len(b)] = [index[f] for f in b]
-            cells[i, k, most] = size
-        live[i, : len(y)], truth[i, : len(y)] = True, y
-    w, links = np.zeros((size + 2, 2)), np.zeros((3, 2))
-    moments = [np.zeros_like(p) for p in (w, links, w, links)]
-    truth_one = np.eye(2)[truth] * live[..., None]
-    for step in range(1, steps + 1) if n and longest else ():
-        unary = w[cells].sum(axis=2)
-        ahead, behind = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
-        ahead[:, 0] = links[0] + unary[:, 0]
-        for k in range(1, longest):
-            ahead[:, k] = np.where(live[:, k, None], np.logaddexp.reduce(ahead[:, k - 1, :, None] + links[1:], axis=1) + unary[:, k], ahead[:, k - 1])
-        for k in range(longest - 2, -1, -1):
-            step_on = np.logaddexp.reduce(links[1:] + (unary[:, k + 1] + behind[:, k + 1])[:, None, :], axis=2)
-            behind[:, k] = np.where(live[:, k + 1, None], step_on, 0)
-        whole = np.logaddexp.reduce(ahead[:, -1], axis=1)
-        share = np.exp(ahead + behind - whole[:, None, None]) * live[..., None]
-        gap = (share - truth_one) / n
-        g = np.zeros_like(w)
-        np.add.at(g, cells, gap[:, :, None, :])
-        g[-1] = 0
-        pair = np.exp(ahead[:, :-1, :, None] + links[1:] + (unary[:, 1:] + behind[:, 1:])[:, :, None, :] - whole[:, None, None, None])
-        pair = (pair * live[:, 1:, None, None]).sum(axis=(0, 1)) - np.einsum("nka,nkb->ab", truth_one[:, :-1] * live[:, 1:, None], truth_one[:, 1:])
-        g_links = np.vstack([gap[:, 0].sum(axis=0), pair / n])
-        for i, (p, grad) in enumerate(((w, g + decay * w), (links, g_links + decay * links))):
-            moments[i] += 0.1 * (grad - moments[i])
-            moments[i + 2] += 0.001 * (grad * grad - moments[i + 2])
-            p -= rate * (moments[i] / (1 - 0.9**step)) / (np.sqrt(moments[i + 2] / (1 - 0.999**step)) + 1e-8)
-    if not n:
+    n, size = len(sequences), len(index)
+    w, links = np.zeros((size + 1, 2)), np.zeros((3, 2))
+    of_block = [[*(index[f] for f in b), size] for x, _ in sequences for b in x]
+    if of_block:
+        count = np.array([len(b) for b in of_block])
+        feature = np.concatenate([np.array(b) for b in of_block])
+        starts, owner = np.cumsum(count) - count, np.repeat(np.arange(len(count)), count)
+        truth = np.eye(2)[np.array([label for _, y in sequences for label in y])]
+        groups = _by_length([len(y) for _, y in sequences])
+        seen = sum(np.einsum("nka,nkb->ab", truth[at[:, :-1]] * live[:, 1:, None], truth[at[:, 1:]]) for at, live in groups)
+        moments = [np.zeros_like(p) for p in (w, links, w, links)]
+        for step in range(1, steps + 1):
+            unary = np.add.reduceat(w[feature], starts, axis=0)
+            gap, first, pairs = -truth, np.zeros(2), -seen
+            for at, live in groups:
+                _, share, pair = forward_backward(unary[at], links, live)
+                gap[at[live]] += share[live]
+                pairs = pairs + pair
+                first += gap[at[:, 0]].sum(axis=0)
+            g = np.stack([np.bincount(feature, weights=gap[owner, c], minlength=size + 1) for c in range(2)], axis=1)
+            for i, (p, grad) in enumerate(((w, g / n + decay * w), (links, np.vstack([first, pairs]) / n + decay * links))):
+                moments[i] += 0.1 * (grad - moments[i])
+                moments[i + 2] += 0.001 * (grad * grad - moments[i + 2])
+                p -= rate * (moments[i] / (1 - 0.9**step)) / (np.sqrt(moments[i + 2] / (1 - 0.999**step)) + 1e-8)
+    else:
         w[size, 1] = 1  # nothing to learn from: all blocks are main text
-    return Field(index, np.vstack([w[:size], w[size]]), links)
+    return Field(index, w, links)
 
 
 def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", rows: int = TRAIN_PAGES) -> Field:

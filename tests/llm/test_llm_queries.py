@@ -179,26 +179,19 @@ def test_fuzzy_lines_equal_brute_force(spark, rows):
 
     line = "the quick brown fox jumps over the lazy dog and runs through the deep dark forest until the night falls on the quiet hills of the north"
     texts = [(3, f"{line}\nalpha beta"), (1, f"{line.upper()}!!\n\n{line}s"), (2, "x\nx\n---\n---"), (4, None), (None, "alpha beta"), (5, "alpha, BETA?\ngamma")]
-    from seasonlab.llm.lines import FAR, fuzzy_lines
+    from seasonlab.llm.lines import fuzzy_lines
 
     found = Counter((r.doc_id, r.n_lines, r.n_kept, tuple(r.kept)) for r in fuzzy_lines(rows(texts, "doc_id long, text string")).collect())
     norm = {}
     for doc, text in texts:
         for no, one in enumerate((text or "").split("\n")):
             norm[doc, no] = " ".join(re.sub("[^a-z0-9]+", " ", one.lower()).split())
-    words = sorted({w for n in norm.values() for w in n.split()})
-    hashes = dict(rows([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w)").collect())
-
-    def bits(n):
-        own = n.split()
-        return sum(1 << b for b in range(64) if 2 * sum(hashes[w] >> b & 1 for w in own) > len(own))
-
     different = sorted({n for n in norm.values() if n})
     groups = brute.Groups(len(different))
     for i, a in enumerate(different):
         for j in range(i):
             b = different[j]
-            if bin(bits(a) ^ bits(b)).count("1") <= FAR and brute.distance(a, b) <= 0.2 * max(len(a), len(b)):
+            if brute.distance(a, b) <= 0.2 * max(len(a), len(b)):
                 groups.join(i, j)
     seen, kept = set(), defaultdict(list)
     for (doc, no), n in sorted(norm.items(), key=lambda kv: (kv[0][0] is not None, kv[0][0] or 0, kv[0][1])):
