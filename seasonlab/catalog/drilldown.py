@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from seasonlab.catalog import views
 from seasonlab.catalog.registry import query
 from seasonlab.functions import Choice, make_choice
-from seasonlab.plans import paths
+from seasonlab.plans import drill_index, paths
+from seasonlab.session import derived_table
 
 TEAMS = 2
 OPENING = (Choice(1, positions=("PROMO",)),)
@@ -109,3 +110,45 @@ def path_text_predicate(spark: SparkSession, sf: str) -> DataFrame:
     """Leagues on a path whose conditions also hold predicates given as text."""
     conditions = [Choice(1, positions=("PROMO",), where="total > 150000"), Choice(2, where="player_id % 2 = 0")]
     return paths.path_leagues(views.picks_total(spark, sf), conditions)
+
+
+def indexed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The numbers of the leagues and the index of choices, written once."""
+    inputs = [f"{sf}/lineitem.parquet", f"{sf}/part.parquet"]
+    numbers = derived_table(spark, "league-numbers", inputs, lambda: drill_index.number_leagues(views.picks_total(spark, sf)))
+
+    def build() -> DataFrame:
+        index = drill_index.build_index(views.picks_total(spark, sf), numbers)
+        return index.repartitionByRange("pick", "kind", "value").sortWithinPartitions("pick", "kind", "value")
+
+    return numbers, derived_table(spark, "choice-index", inputs, build)
+
+
+@query(
+    """SELECT league FROM picks GROUP BY 1 HAVING bool_or(pick = 1 AND pos IN ('PROMO', 'LARGE'))
+  AND bool_or(pick = 2 AND (pos = 'SMALL' OR player_id % 2 = 0 AND player_id <= 60)) AND bool_or(pick = 3 AND pos <> 'ECONOMY')""",
+    "picks",
+)
+def path_leagues_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """Three conditions answered from the index, the third as a question about the answer to two."""
+    numbers, index = indexed(spark, sf)
+    opened = [Choice(1, positions=("PROMO", "LARGE")), Choice(2, ids=tuple(range(0, 61, 2)), positions=("SMALL",))]
+    third = Choice(3, positions=("LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"))
+    answer = drill_index.follow(index, [third], drill_index.follow(index, opened))
+    return drill_index.leagues_of(answer, numbers)
+
+
+@query(
+    """SELECT pos, count(*) AS leagues FROM (SELECT DISTINCT league, pos FROM picks WHERE pick = 2 AND league IN (SELECT league FROM picks WHERE pick = 1 AND pos = 'PROMO')) GROUP BY 1""",
+    "picks",
+)
+def path_counts_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """How many leagues opened with PROMO went on with each position: counts of bits alone."""
+    _, index = indexed(spark, sf)
+    opened = drill_index.follow(index, [Choice(1, positions=("PROMO",))])
+    second = index.where("pick = 2 AND kind = 'pos'").select("value", "bucket", "few", "bits")
+    listed = second.select("value", "bucket", F.explode("few").alias("place")).groupBy("value", "bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
+    each = listed.unionByName(second.where("bits IS NOT NULL").select("value", "bucket", "bits"))
+    both = each.unionByName(each.select("value", "bucket").distinct().join(opened, "bucket").select("value", "bucket", "bits"))
+    met = both.groupBy("value", "bucket").agg(F.bitmap_and_agg("bits").alias("bits"), F.count(F.lit(1)).alias("n")).where("n = 2")
+    return met.groupBy(F.col("value").alias("pos")).agg(F.sum(F.bitmap_count("bits")).alias("leagues")).where("leagues > 0")

@@ -260,13 +260,13 @@ _FEATURES_SQL = """[a_pred_points, a_std_error, CASE WHEN pos IN ('LARGE', 'MEDI
 @query(
     f"""SELECT d.league, d.team, d.player_id, d.pos, t.total FROM drafted d JOIN (
   SELECT league, team, round(sum(intercept + list_dot_product(w, [x[j] / scale[j] for j in range(1, 8)])), 4) AS total
-  FROM (SELECT league, team, pos, {_FEATURES_SQL} AS x FROM profiles) JOIN models USING (pos) GROUP BY 1, 2) t USING (league, team)""",
+  FROM (SELECT league, team, pos, {_FEATURES_SQL} AS x FROM profiles) LEFT JOIN models USING (pos) GROUP BY 1, 2) t USING (league, team)""",
     "models",
     "profiles",
     "drafted",
 )
 def score_picks_fitted(spark: SparkSession, sf: str) -> DataFrame:
-    """Every pick with the total that the stored models predict for its team."""
+    """Every pick with the total that the stored models predict for its team; null without models."""
     members = views.drafted(spark, sf)
     scored = profiles.score_picks(members, profiles.group_profile(members, views.PICK_SLOTS), by_position(spark, sf), BY)
     return scored.select(*BY, "player_id", "pos", F.round("total", 4).alias("total"))
@@ -295,7 +295,7 @@ placed AS (SELECT *, CASE WHEN pos IN ('LARGE', 'MEDIUM') THEN 2 ELSE 1 END AS q
   row_number() OVER (PARTITION BY c ORDER BY own, pred DESC, player_id) AS before_rn FROM both_lists),
 measured AS (SELECT c, {_measured("after_rn", "TRUE")} AS after_x, {_measured("before_rn", "own = 0")} AS before_x FROM placed GROUP BY 1)
 SELECT league, team, player_id, pos, round(list_dot_product(w, [(after_x[j] - before_x[j]) / scale[j] for j in range(1, 8)]), 4) AS value_add
-FROM cand JOIN measured USING (c) JOIN models USING (pos)""",
+FROM cand JOIN measured USING (c) LEFT JOIN models USING (pos)""",
     "models",
     "drafted",
 )

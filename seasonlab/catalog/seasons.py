@@ -9,7 +9,7 @@ from seasonlab.catalog import views
 from seasonlab.catalog.registry import query
 from seasonlab.functions import Scoring, one_hot
 from seasonlab.functions.scoring import score_season_stats
-from seasonlab.operators import blend_means, join_to_groups, one_hot_violations
+from seasonlab.operators import apply_rules, blend_means, join_indicator, join_to_groups, map_values, one_hot_violations
 from seasonlab.plans import rankings as spelling
 from seasonlab.plans import season as plan
 from seasonlab.plans.sampling import sampled_order as draw_orders
@@ -292,6 +292,73 @@ def normalise_rankings(spark: SparkSession, sf: str) -> DataFrame:
     return spelling.normalise_rankings(ranked)
 
 
+@query(
+    f"""WITH listed AS (SELECT c_custkey, concat("Name", ' ', c_custkey) AS "Name", "Team", "Position", "Year" FROM ({LISTED})),
+rules AS (SELECT c_custkey AS rule, concat(' ', c_custkey) AS text, CASE c_custkey % 3 WHEN 0 THEN 'WR' WHEN 1 THEN 'TE' ELSE 'QB' END AS value,
+  CASE WHEN c_custkey % 2 = 0 THEN 2017 ELSE 9999 END AS until FROM customer WHERE c_custkey % 4 = 0 AND c_custkey < 4000),
+met AS (SELECT listed.c_custkey, arg_max(value, rule) AS value FROM listed JOIN rules ON contains("Name", text) AND "Year" <= until GROUP BY 1),
+renamed AS (SELECT c_custkey, concat('No. ', c_custkey) AS value FROM listed WHERE c_custkey % 5 = 0)
+SELECT c_custkey, coalesce(r.value, "Name") AS "Name", "Team", coalesce(m.value, "Position") AS "Position", "Year"
+FROM listed LEFT JOIN met m USING (c_custkey) LEFT JOIN renamed r USING (c_custkey)"""
+)
+def rules_by_table(spark: SparkSession, sf: str) -> DataFrame:
+    """As many rules as customers: names by equality, positions by a part of the name and the year."""
+    key = F.col("c_custkey")
+    customer = views.table(spark, sf, "customer")
+    listed = customer.select(
+        "c_custkey",
+        F.concat(F.expr(_pick(NAMES, "c_custkey % 8")), F.lit(" "), key.cast("string")).alias("Name"),
+        F.expr(_pick(CODES, "c_nationkey % 6")).alias("Team"),
+        F.expr(_pick(["QB", "RB", "WR", "TE", "K"], "c_custkey % 5")).alias("Position"),
+        (F.col("c_nationkey") % 7 + 2014).alias("Year"),
+    )
+    nothing = F.lit(None).cast("int")
+    fixed = [F.lit(0).alias("step"), key.cast("long").alias("rule"), F.lit("Name").alias("field")]
+    parts = customer.where((key % 4 == 0) & (key < 4000)).select(
+        *fixed,
+        F.lit("has").alias("how"),
+        F.concat(F.lit(" "), key.cast("string")).alias("text"),
+        nothing.alias("since"),
+        F.when(key % 2 == 0, 2017).otherwise(9999).alias("until"),
+        F.lit("Position").alias("target"),
+        F.when(key % 3 == 0, "WR").when(key % 3 == 1, "TE").otherwise("QB").alias("value"),
+    )
+    whole = listed.where(key % 5 == 0).select(
+        *fixed, F.lit("is").alias("how"), F.col("Name").alias("text"), nothing.alias("since"), nothing.alias("until"), F.lit("Name").alias("target"), F.concat(F.lit("No. "), key.cast("string")).alias("value")
+    )
+    return apply_rules(listed, parts.unionByName(whole), ["Name"], ["Name", "Position"], "Year")
+
+
+FIXED_NAMES = ["Robbie Anderson", "Cordarrelle Patterson", "Ty Montgomery", "Scotty Miller", "Danny Woodhead", "Ladarius Green", "A Player"]
+
+
+@query(
+    f"""WITH listed AS (SELECT {_pick(FIXED_NAMES, "c_custkey % 7")} AS name, CAST(2014 + c_nationkey AS INT) % 10 + 2014 AS year, {_pick(["WR", "RB", "TE"], "c_custkey % 3")} AS pos, c_custkey FROM customer),
+r AS (SELECT CASE name WHEN 'Robbie Anderson' THEN 'Chosen Anderson' WHEN 'Scotty Miller' THEN 'Scott Miller' ELSE name END AS name, year,
+  CASE WHEN name = 'Cordarrelle Patterson' AND year < 2021 THEN 'WR' WHEN name = 'Ty Montgomery' AND year IN (2016, 2017, 2018) THEN 'RB' ELSE pos END AS pos, min(c_custkey) AS adp
+  FROM listed WHERE c_custkey % 2 = 0 GROUP BY 1, 2, 3),
+p AS (SELECT CASE name WHEN 'Robbie Anderson' THEN 'Chosen Anderson' WHEN 'Scotty Miller' THEN 'Scott Miller' ELSE name END AS name, year,
+  CASE name WHEN 'Danny Woodhead' THEN 'RB' WHEN 'Ladarius Green' THEN 'TE' ELSE pos END AS pos, max(c_custkey) AS pts FROM listed WHERE c_custkey % 3 < 2 GROUP BY 1, 2, 3)
+SELECT coalesce(p.name, r.name) AS "Player", coalesce(p.year, r.year) AS "Year", coalesce(p.pos, r.pos) AS "FantPos", pts, adp,
+  CASE WHEN r.name IS NULL THEN 'left_only' WHEN p.name IS NULL THEN 'right_only' ELSE 'both' END AS found
+FROM p FULL JOIN r ON p.name = r.name AND p.year = r.year AND p.pos = r.pos"""
+)
+def merge_fixups(spark: SparkSession, sf: str) -> DataFrame:
+    """Rankings met with a season table, once both spell names and positions alike."""
+    customer = views.table(spark, sf, "customer")
+    listed = customer.select(
+        F.expr(_pick(FIXED_NAMES, "c_custkey % 7")).alias("Name"),
+        ((F.col("c_nationkey") + 2014) % 10 + 2014).cast("int").alias("Year"),
+        F.expr(_pick(["WR", "RB", "TE"], "c_custkey % 3")).alias("Position"),
+        "c_custkey",
+    )
+    rankings = spelling.match_season_names(listed.where("c_custkey % 2 = 0")).groupBy("Name", "Year", "Position").agg(F.min("c_custkey").alias("adp"))
+    scored = listed.where("c_custkey % 3 < 2").withColumnsRenamed({"Name": "Player", "Position": "FantPos"})
+    scored = map_values(spelling.match_ranking_positions(scored), "Player", spelling.MERGE_NAMES)
+    scored = scored.groupBy("Player", "Year", "FantPos").agg(F.max("c_custkey").alias("pts"))
+    return join_indicator(scored, rankings.withColumnsRenamed({"Name": "Player", "Position": "FantPos"}), ["Player", "Year", "FantPos"])
+
+
 @query(
     """SELECT l_orderkey, l_linenumber, p_name AS "Player", p_type AS "FantPos",
   l_quantity * 4e-2 + 0e0 * 4e0 + CAST(l_linenumber AS DOUBLE) * -2e0 + coalesce(l_discount, 0e0) * 1e-1 + 0e0 * 6e0

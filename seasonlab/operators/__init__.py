@@ -33,9 +33,11 @@ from seasonlab.operators.quality import (
     short_span_keys,
 )
 from seasonlab.operators.ranking import best_per_key, nth_best, number_rows, top_n
+from seasonlab.operators.rules import apply_rules
 
 __all__ = [
     "add_total",
+    "apply_rules",
     "best_per_key",
     "blend_means",
     "check_same_columns",

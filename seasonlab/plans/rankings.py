@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seasonlab.functions import Scoring, first_digits
-from seasonlab.operators import blend_means, conditional_override, map_values
+from seasonlab.operators import apply_rules, blend_means, conditional_override, map_values
 
 POSITIONS = ["QB", "RB", "TE", "WR"]
 
@@ -82,6 +82,26 @@ def normalise_rankings(rankings: DataFrame) -> DataFrame:
     return conditional_override(out, rules)
 
 
+def spelling_rules() -> list[tuple]:
+    """The rules of :func:`normalise_rankings` as rows of a table, in three steps: initials
+    and whole names, teams, then parts of names."""
+    rules = [(0, "Name", "is", old, None, None, "Name", new) for old, new in FULL_NAMES.items()]
+    rules += [(0, "Team", "is", old, None, None, "Team", new) for old, new in TEAM_CODES.items()]
+    rules += [(1, "Team", "is", team, None, last, "Team", old) for team, last, old in OLD_TEAM_CODES]
+    rules += [(1, "Name", "has", part, None, None, "Position", pos) for part, pos in NAME_POSITIONS.items()]
+    rules += [(1, "Name", "has", part, None, None, "Name", full) for part, full in NAME_PARTS.items()]
+    return [(step, n, field, *rest) for n, (step, field, *rest) in enumerate(rules)]
+
+
+def normalise_by_rules(rankings: DataFrame, rules: DataFrame) -> DataFrame:
+    """:func:`normalise_rankings` with its rules, and any others, as a table."""
+    name = F.regexp_replace("Name", r"\s+I+\s*$", "")
+    for old, new in INITIALS.items():
+        name = F.replace(name, F.lit(old), F.lit(new))
+    out = rankings.withColumn("PositionRank", first_digits("PositionRank")).withColumn("Name", name).where(F.col("Position").isin(POSITIONS))
+    return apply_rules(out, rules, ["Name", "Team"], ["Name", "Team", "Position"], "Year", (0, 1))
+
+
 def match_season_names(rankings: DataFrame) -> DataFrame:
     """Last differences before rankings are merged into the season table."""
     name, year = F.col("Name"), F.col("Year")
