@@ -2,6 +2,9 @@ import os
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from seasonlab import session
 from seasonlab.session import new_path, shared_folder
 from seasonlab.sources import (
     append_table,
@@ -176,3 +179,20 @@ def test_spans_have_the_limits_of_html(spark):
     out = page_tables(spark.createDataFrame([(1, page)], "page_id int, html string"), "t", ["x", "y"]).orderBy("place").collect()
     assert [(r.x, r.y) for r in out] == [("a", "a"), ("b", "c"), ("b", "d")]
     assert [len(r.extra or []) for r in out] == [998, 0, 0]
+
+
+def test_derived_tables_have_tasks_in_proportion_to_their_inputs(spark, tmp_path, monkeypatch):
+    """Shuffles of a build are cut by the size of its inputs; the session's settings come back."""
+    given = str(tmp_path / "given.parquet")
+    spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")).coalesce(1).write.parquet(given)
+    monkeypatch.setattr(session, "PART_MB", 1 / 8)
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before, seen = [spark.conf.get(n) for n in names], []
+
+    def build():
+        seen.extend(spark.conf.get(n) for n in names)
+        return spark.read.parquet(given).groupBy("text").count()
+
+    assert session.derived_table(spark, "sized-test", [given], build).count() == 20_000
+    assert int(seen[0]) > int(before[0]) and int(seen[0]) >= 8
+    assert [spark.conf.get(n) for n in names] == before
