@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, MaxAbsScaler, PolynomialExpansion, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +28,8 @@ from seasonlab.plans.sampling import train_test
 FOLDS = 5
 ALPHAS = 100
 ALPHA_SPAN = 1e-3  # smallest penalty tried, as a share of the largest useful one
+DRIVER_TERMS = 256  # features whose sums of products the driver takes; those of more stay in tasks
+LINES = 256  # lines of a sum of products that a task hands on at once
 
 LOG_SCHEMA = "Name string, Description string, Model string, TimeToFinish double, TrainR2 double, TestR2 double, Position string"
 
@@ -59,8 +65,7 @@ def numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def moments(prepared: DataFrame, y: str, folds: int) -> list[np.ndarray]:
     """Per fold, the sums of products of (1, outcome, features).
 
-    One job per fold over its own rows of the stored features, so that every row is
-    added up once. What comes back has one row and column per feature, whatever the
+    One job per fold over its own rows, so that every row is added up once. What comes back has one row and column per feature, whatever the
     number of rows.
     """
     wide = VectorAssembler(inputCols=["_one", y, "_features"], outputCol="_v").transform(
@@ -128,6 +133,64 @@ def squared_error(sums: np.ndarray, w: np.ndarray, intercept: float) -> float:
     return float(v @ sums @ v) / sums[0, 0]
 
 
+def deal_rows(rows: DataFrame, n: int, terms: int, folds: int) -> tuple[DataFrame, int]:
+    """Rows with a fold (``_fold``), a fold in as few tasks as its rows, ``n`` for all folds,
+    are worth, and that number: a task hands on sums with the size of the feature count squared."""
+    parts = max(1, min(rows.sparkSession.sparkContext.defaultParallelism, n // (folds * 8 * terms)))
+    return rows.repartition(folds * parts, "_fold", F.pmod(F.monotonically_increasing_id(), F.lit(parts))), parts
+
+
+def moment_lines(prepared: DataFrame, y: str, spread: bool = True) -> DataFrame:
+    """(fold, i, sums): line i, up to its diagonal, of a fold's sums of products, as
+    :func:`moments` has them, added up in tasks. A fold without rows has no lines. Only
+    folds ``spread`` over several tasks need a shuffle."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            folds, outcomes = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("fold", "y"))
+            terms = batch.column("terms").flatten().to_numpy().reshape(len(folds), -1)
+            for fold in np.unique(folds):
+                at = folds == fold
+                v = np.column_stack([np.ones(at.sum()), outcomes[at], terms[at]])
+                held[fold] = held.get(fold, 0.0) + v.T @ v
+        for fold, sums in held.items():
+            for first in range(0, len(sums), LINES):
+                at = np.arange(first, min(first + LINES, len(sums)), dtype=np.int32)
+                starts = np.concatenate([[0], np.cumsum(at + 1)]).astype(np.int32)
+                cells = np.concatenate([sums[i, : i + 1] for i in at])
+                lines = [pa.array(np.full(len(at), fold, dtype=np.int32)), pa.array(at), pa.ListArray.from_arrays(pa.array(starts), pa.array(cells))]
+                yield pa.RecordBatch.from_arrays(lines, names=["fold", "i", "sums"])
+
+    rows = prepared.select(F.col("_fold").cast("int").alias("fold"), F.col(y).cast("double").alias("y"), vector_to_array("_features").alias("terms"))
+    parts = rows.mapInArrow(partial, "fold int, i int, sums array<double>")
+    if not spread:
+        return parts
+    added = parts.groupBy("fold", "i").agg(Summarizer.metrics("sum").summary(array_to_vector("sums")).alias("s"))
+    return added.select("fold", "i", vector_to_array("s.sum").alias("sums"))
+
+
+def whole_sums(lines: pd.DataFrame) -> np.ndarray:
+    """A fold's sums of products from its lines."""
+    lines = lines.sort_values("i")["sums"].to_list()
+    sums = np.zeros((len(lines), len(lines)))
+    for i, line in enumerate(lines):
+        sums[i, : i + 1] = sums[: i + 1, i] = line
+    return sums
+
+
+def choose_wide_penalty(prepared: DataFrame, y: str, count: int = ALPHAS, spread: bool = True) -> float:
+    """:func:`choose_penalty` for many features: one task walks the penalties of all folds,
+    on sums whose size does not depend on the number of rows. The driver gets the penalty."""
+
+    def walk(lines: pd.DataFrame) -> pd.DataFrame:
+        by_fold = [whole_sums(part) for _, part in lines.groupby("fold")]
+        return pd.DataFrame({"alpha": [lowest_error(by_fold, count)]})
+
+    found = moment_lines(prepared, y, spread).groupBy().applyInPandas(walk, "alpha double").first()
+    return found.alpha if found else 0.0
+
+
 def choose_penalty(prepared: DataFrame, y: str, folds: int = FOLDS, count: int = ALPHAS) -> float:
     """Penalty with the lowest cross-validated error on a falling log grid.
 
@@ -135,42 +198,47 @@ def choose_penalty(prepared: DataFrame, y: str, folds: int = FOLDS, count: int =
     penalties come out of the sums of products; a fit by Spark for each of them would
     read the rows five hundred times.
     """
-    by_fold = [m for m in moments(prepared, y, folds) if m[0, 0] > 0]
+    return lowest_error([m for m in moments(prepared, y, folds) if m[0, 0] > 0], count)
+
+
+def lowest_error(by_fold: list[np.ndarray], count: int) -> float:
+    """Penalty with the lowest cross-validated error, from each fold's sums of products."""
     total = np.sum(by_fold, axis=0)
-    top = np.abs(centred(total)[1]).max(initial=0.0)
+    means = total[0, 1:] / total[0, 0]
+    top = np.abs(total[1, 2:] / total[0, 0] - means[0] * means[1:]).max(initial=0.0)
     size_of_y = np.sqrt(total[1, 1] / total[0, 0])
     if top <= 1e-12 * size_of_y or len(by_fold) < 2:
         return 0.0
     grid = top * np.logspace(0, np.log10(ALPHA_SPAN), count)
-
-    def errors(held: np.ndarray) -> np.ndarray:
+    errors = np.zeros(count)
+    for held in by_fold:
         cov, by_y, means = centred(total - held)
-        w, out = np.zeros(len(by_y)), []
-        for alpha in grid:
+        w = np.zeros(len(by_y))
+        for k, alpha in enumerate(grid):
             w = shrink(cov, by_y, alpha, w)
-            out.append(squared_error(held, w, means[0] - means[1:] @ w))
-        return np.array(out)
-
-    with ThreadPoolExecutor(len(by_fold)) as pool:
-        return float(grid[np.sum(list(pool.map(errors, by_fold)), axis=0).argmin()])
+            errors[k] += squared_error(held, w, means[0] - means[1:] @ w)
+    return float(grid[errors.argmin()])
 
 
 def fit_poly_lasso(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str], degree: int = 2, folds: int = FOLDS, alphas: int = ALPHAS, prediction: str = "prediction") -> Fit:
     """L1 regression on polynomial features, penalty chosen by cross-validation.
 
     Folds are set by a hash of the row, so a re-run makes the same choice. The final
-    fit uses the normal equations, again one pass over the stored features.
+    fit uses the normal equations, again one pass over the rows. Only the given features
+    are kept; their products are made anew in every pass, since those of a partition would
+    be many times its size.
     """
     started = time.monotonic()
     train = numeric(train, [*xs, y]).where(F.col(y).isNotNull()).select(*xs, y).persist()
     test = numeric(test, [*xs, y]).select(*xs, y)
     prepare = Pipeline(stages=feature_stages(xs, degree)).fit(train)
-    prepared = prepare.transform(train).select(
-        "_features", y, F.pmod(F.xxhash64(*xs, y), F.lit(folds)).cast("int").alias("_fold")
-    )
-    prepared.persist()
+    terms = prepare.stages[-1].maxAbs.size
+    wide = terms > DRIVER_TERMS
+    rows = train.withColumn("_fold", F.pmod(F.xxhash64(*xs, y), F.lit(folds)).cast("int"))
+    rows, parts = deal_rows(rows, train.count(), terms, folds) if wide else (rows, 0)
+    prepared = prepare.transform(rows).select("_features", y, "_fold")
     try:
-        alpha = choose_penalty(prepared, y, folds, alphas)
+        alpha = choose_wide_penalty(prepared, y, alphas, parts > 1) if wide else choose_penalty(prepared, y, folds, alphas)
         best = LinearRegression(
             featuresCol="_features",
             labelCol=y,
@@ -185,7 +253,6 @@ def fit_poly_lasso(train: DataFrame, test: DataFrame, y: str, xs: Sequence[str],
         seconds = time.monotonic() - started
         return Fit(model, score(model, train, y, prediction), score(model, test, y, prediction), seconds, alpha)
     finally:
-        prepared.unpersist()
         train.unpersist()
 
 

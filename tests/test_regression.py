@@ -126,3 +126,26 @@ def test_position_sweep_closes_with_the_sums(spark, table):
     rows = [(r.Model, r.Position, r.TestR2) for r in log.collect()]
     assert [r[:2] for r in rows] == [(f"lasso_poly{d}", p) for d in (1, 2) for p in ("QB", "FLEX", "Aggregated")]
     assert rows[5][2] > rows[2][2] and rows[5][2] > 0.9
+
+
+def test_many_features_are_summed_and_walked_in_tasks(spark, table, monkeypatch):
+    """The same penalty as on the driver, which gets no sums of products."""
+    prepared = ml.Pipeline(stages=ml.feature_stages(["a", "b", "c"], 3)).fit(table).transform(table)
+    prepared = prepared.select("_features", "y", (F.col("id") % 5).cast("int").alias("_fold")).repartition(3)
+    lines = ml.moment_lines(prepared, "y").toPandas()
+    total = np.sum([ml.whole_sums(part) for _, part in lines.groupby("fold")], axis=0)
+    assert total == pytest.approx(np.sum(ml.moments(prepared, "y", 5), axis=0))
+    assert ml.choose_wide_penalty(prepared, "y") == pytest.approx(ml.choose_penalty(prepared, "y"))
+    assert ml.choose_wide_penalty(prepared.withColumn("y", F.lit(3.0)), "y") == ml.choose_wide_penalty(prepared.where("_fold = 1"), "y") == 0.0
+    monkeypatch.setattr(ml, "DRIVER_TERMS", 3)
+    monkeypatch.setattr(ml, "moments", None)
+    assert ml.fit_split(table, "y", ["a", "b", "c"], ["id"], 2).test_r2 > 0.98
+
+
+def test_products_of_features_are_not_kept(table, monkeypatch):
+    """Stored products of a partition are many times the partition."""
+    kept = []
+    real = type(table).persist
+    monkeypatch.setattr(type(table), "persist", lambda df, *a: kept.append(df.columns) or real(df, *a))
+    ml.fit_split(table, "y", ["a", "b"], ["id"], 3)
+    assert kept and not any("_features" in c for c in kept)
