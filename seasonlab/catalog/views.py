@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seasonlab.functions import pick_owner
-from seasonlab.operators import add_total, number_rows
+from seasonlab.operators import add_total, number_groups
 from seasonlab.plans.lineup import Slots
 from seasonlab.plans.season import collapse_duplicates
 from seasonlab.session import derived_table
@@ -47,7 +47,7 @@ def picks(spark: SparkSession, sf: str) -> DataFrame:
         "l_quantity",
     )
     order = ["l_linenumber", "player_id", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity"]
-    numbered = number_rows(lines, ["league"], [(c, True) for c in order], "pick")
+    numbered = number_groups(lines, ["league"], [(c, True) for c in order], "pick")
     numbered = numbered.withColumn("pick", F.col("pick").cast("int"))
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("player_id"), F.col("p_type").alias("pos"))
     rows = numbered.select("league", "pick", pick_owner("pick", 2).alias("team"), "player_id", "price")

@@ -32,7 +32,7 @@ from seasonlab.operators.quality import (
     one_hot_violations,
     short_span_keys,
 )
-from seasonlab.operators.ranking import best_per_key, nth_best, number_rows, top_n
+from seasonlab.operators.ranking import best_per_key, nth_best, number_groups, number_rows, top_n
 from seasonlab.operators.rules import apply_rules
 
 __all__ = [
@@ -57,6 +57,7 @@ __all__ = [
     "map_values",
     "nth_best",
     "null_counts",
+    "number_groups",
     "number_rows",
     "one_hot_violations",
     "pivot_values",

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from seasonlab.session import new_path
 
+LARGE = 100_000  # rows of a group that one task sorts easily
 Order = list[tuple[str, bool]]  # (column, ascending); nulls rank as the lowest value
 
 
@@ -109,3 +110,25 @@ def number_rows(df: DataFrame, keys: list[str], order: Order, name: str = "rn")
     joined = rows.join(starts, same & (F.shiftright(rows[place], 33) == starts["_r"]))
     numbers = (rows[place] + starts["_shift"]).alias(name)
     return joined.select(*[rows[c] for c in df.columns if c != name], numbers)
+
+
+def number_groups(df: DataFrame, keys: list[str], order: Order, name: str = "rn") -> DataFrame:
+    """``row_number`` (a long) of every row, for groups of which most are small.
+
+    Rows per key are counted first, from the key columns alone. Rows of groups with more
+    than ``LARGE`` rows are numbered by :func:`number_rows`; all others are shuffled once, by
+    key, which is a third of what its ranges, written rows and join take. ``df`` is read
+    twice, or three times if there are large groups.
+    """
+    w = Window.partitionBy(*keys).orderBy(*_sort(order))
+    number = F.row_number().over(w).cast("long").alias(name)
+    kept = [F.col(f"`{c}`") for c in df.columns if c != name]
+    large = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > LARGE).drop("_n")
+    path = new_path(df.sparkSession, "large-groups")
+    large.write.parquet(path)
+    found = df.sparkSession.read.schema(large.schema).parquet(path)
+    if found.isEmpty():
+        return df.select(*kept, number)
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(found[f"_k{i}"]) for i, k in enumerate(keys)])
+    small = df.join(found, same, "left_anti").select(*kept, number)
+    return small.unionByName(number_rows(df.join(found, same, "left_semi"), keys, order, name))

@@ -37,10 +37,11 @@ def build_index(picks: DataFrame, numbers: DataFrame) -> DataFrame:
     ``kind`` is ``id`` or ``pos``; of ``few`` (sorted places) and ``bits`` one is null.
     """
     kinds = [F.struct(F.lit(k).alias("kind"), F.col(c).cast("string").alias("value")) for k, c in (("id", "player_id"), ("pos", "pos"))]
-    chosen = picks.select("league", "pick", F.inline(F.array(*kinds))).where("value IS NOT NULL AND pick IS NOT NULL")
-    placed = chosen.join(numbers, "league").select("pick", "kind", "value", "bucket", "place")
+    placed = picks.where("pick IS NOT NULL").select("league", "pick", "player_id", "pos").join(numbers, "league")
+    placed = placed.select("pick", F.inline(F.array(*kinds)), "bucket", "place").where("value IS NOT NULL")
     key = ["pick", "kind", "value", "bucket"]
-    lists = placed.groupBy(*key).agg(F.array_sort(F.collect_set("place")).alias("places"))
+    # dealt by key once, for both kinds of set: most keys are in one row, and nothing would combine before
+    lists = placed.repartition(*key).groupBy(*key).agg(F.array_sort(F.collect_set("place")).alias("places"))
     few = F.size("places") < FEW
     rare = lists.where(few).select(*key, F.col("places").alias("few"), F.lit(None).cast("binary").alias("bits"))
     many = lists.where(~few).select(*key, F.explode("places").alias("place")).groupBy(*key)

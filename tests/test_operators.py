@@ -26,6 +26,7 @@ from seasonlab.operators import (
     map_values,
     nth_best,
     null_counts,
+    number_groups,
     number_rows,
     one_hot_violations,
     pivot_values,
@@ -359,3 +360,18 @@ def test_no_task_of_a_full_join_holds_the_hot_keys(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("large", [10, 10**9])
+def test_small_groups_are_numbered_in_one_shuffle(spark, hot, monkeypatch, large):
+    """Groups beyond the limit are numbered by ranges, null keys like any other."""
+    monkeypatch.setattr(ranking, "LARGE", large)
+    calls, real = [], ranking.number_rows
+    monkeypatch.setattr(ranking, "number_rows", lambda *a: calls.append(1) or real(*a))
+    rows = hot.withColumn("g", F.when(F.col("id") % 5 != 0, F.col("g"))).unionByName(hot.where("id < 0"))
+    ours = number_groups(rows, ["g"], [("v", True), ("id", True)], "pick")
+    plain = rows.withColumn("pick", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")).cast("long"))
+    assert ours.columns == plain.columns and ours.count() == plain.count() and ours.exceptAll(plain).count() == 0
+    assert bool(calls) == (large == 10)
+    shuffles = ours._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert large == 10 or shuffles == 1
