@@ -111,7 +111,9 @@ FROM (SELECT league, team, CAST(sum(pts) AS DOUBLE) AS pts, CAST(sum(CAST(a_pred
 )
 def line_fit(spark: SparkSession, sf: str) -> DataFrame:
     """Unpenalised line through the team outcomes by their starters' predicted points."""
-    rows = profiles.starter_points(usable_set(spark, sf), BY, "pts", tuple(TWO_STARTERS))
+    inputs = [f"{sf}/{t}.parquet" for t in ("lineitem", "part")]
+    # a derived table: a row per team, read by the count, the fit and its quality
+    rows = derived_table(spark, "starter-points", inputs, lambda: profiles.starter_points(usable_set(spark, sf), BY, "pts", tuple(TWO_STARTERS)))
     teams = rows.count()
     slope = intercept = None  # as in SQL, nothing is told by no rows
     if teams:

@@ -159,31 +159,41 @@ def _ship_team() -> Column:
 
 
 def drafted(spark: SparkSession, sf: str) -> DataFrame:
-    """Who is on which team of a league (a ship month); made distinct before the join."""
-    owned = (
-        table(spark, sf, "lineitem")
-        .select(_ship_month().alias("league"), _ship_team().alias("team"), F.col("l_partkey").alias("player_id"))
-        .distinct()
-    )
-    part = table(spark, sf, "part").select(
-        F.col("p_partkey").alias("player_id"),
-        F.col("p_type").alias("pos"),
-        F.col("p_retailprice").alias("pred"),
-        F.col("p_size").cast("double").alias("var_pred"),
-    )
-    return owned.join(part, "player_id").select("league", "team", "player_id", "pos", "pred", "var_pred")
+    """Who is on which team of a league (a ship month); made distinct before the join. A
+    derived table, since a query reads it up to eight times."""
+
+    def build() -> DataFrame:
+        owned = (
+            table(spark, sf, "lineitem")
+            .select(_ship_month().alias("league"), _ship_team().alias("team"), F.col("l_partkey").alias("player_id"))
+            .distinct()
+        )
+        part = table(spark, sf, "part").select(
+            F.col("p_partkey").alias("player_id"),
+            F.col("p_type").alias("pos"),
+            F.col("p_retailprice").alias("pred"),
+            F.col("p_size").cast("double").alias("var_pred"),
+        )
+        return owned.join(part, "player_id").select("league", "team", "player_id", "pos", "pred", "var_pred")
+
+    return derived_table(spark, "drafted", [f"{sf}/{t}.parquet" for t in ("lineitem", "part")], build)
 
 
 def outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    """Outcome per league, team and position: shipped value, in thousands per week."""
-    sums = (
-        table(spark, sf, "lineitem")
-        .groupBy(_ship_month().alias("league"), _ship_team().alias("team"), F.col("l_partkey").alias("player_id"))
-        .agg(F.sum(money("l_extendedprice")).alias("v"))
-    )
-    part = table(spark, sf, "part").select(F.col("p_partkey").alias("player_id"), F.col("p_type").alias("pos"))
-    joined = sums.join(part, "player_id").groupBy("league", "team", "pos")
-    return joined.agg((F.sum("v").cast("double") / 18000).alias("pts"))
+    """Outcome per league, team and position: shipped value, in thousands per week. A derived
+    table, as ``drafted``."""
+
+    def build() -> DataFrame:
+        sums = (
+            table(spark, sf, "lineitem")
+            .groupBy(_ship_month().alias("league"), _ship_team().alias("team"), F.col("l_partkey").alias("player_id"))
+            .agg(F.sum(money("l_extendedprice")).alias("v"))
+        )
+        part = table(spark, sf, "part").select(F.col("p_partkey").alias("player_id"), F.col("p_type").alias("pos"))
+        joined = sums.join(part, "player_id").groupBy("league", "team", "pos")
+        return joined.agg((F.sum("v").cast("double") / 18000).alias("pts"))
+
+    return derived_table(spark, "outcomes", [f"{sf}/{t}.parquet" for t in ("lineitem", "part")], build)
 
 
 VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {

@@ -112,3 +112,10 @@ def test_projection_and_filter_reach_the_scan(spark):
     plan = queries()["scan_project"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_shipdate" in plan and "LessThan(l_shipdate" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_extendedprice:double,l_shipdate:timestamp_ntz>" in plan
+
+
+@pytest.mark.parametrize("name", ["value_added_fitted", "score_picks_fitted", "line_fit"])
+def test_order_lines_are_not_read_again_by_every_step(spark, name):
+    """Members and outcomes are made once; what a query goes on with are the written rows."""
+    plan = queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "l_suppkey" not in plan and "l_shipdate" not in plan
