@@ -28,7 +28,7 @@ from seasonlab.plans.sampling import train_test
 FOLDS = 5
 ALPHAS = 100
 ALPHA_SPAN = 1e-3  # smallest penalty tried, as a share of the largest useful one
-DRIVER_TERMS = 256  # features whose sums of products the driver takes; those of more stay in tasks
+DRIVER_TERMS = 1024  # features whose sums of products the driver takes; those of more stay in tasks
 LINES = 256  # lines of a sum of products that a task hands on at once
 
 LOG_SCHEMA = "Name string, Description string, Model string, TimeToFinish double, TrainR2 double, TestR2 double, Position string"
