@@ -121,6 +121,34 @@ def test_tables_from_pages(rows):
     assert values(table_counts(pages, "stats")) == [(7, 1), (8, 0), (9, 0)]
 
 
+def test_plain_pages_need_no_general_parser(monkeypatch):
+    """Pages of plain tags are read without it, all pages as it reads them."""
+    import random
+
+    from seasonlab.sources import html
+
+    rng = random.Random(4)
+    plain = ["<table id='t'>", "<TABLE id=t>", "</table>", "<tr>", "</tr >", "<td>", "<Td colspan=2 m=\"x\">", "<td rowspan='3'>", "<td m>", "<th m=''>", "</td>", "</th>", "<br />"]
+    plain += ["<a href='/x?a=1&b=<2>'>", "</a>", "&amp;", "&lt", "x", " ", "\n", "é"]
+    odd = ["<!-- <td> -->", "<script>", "</script>", "<", "a<b", "<td m='&lt;'>", "<td/>", "<td m = x>", "<td m=`x`>", "</td x>", "<td m='x'n='y'>", "<td\x0bm=x>", "<!doctype html>", "<td m='"]
+
+    def read(text, by_feed):
+        reader = html._TableReader("t", "m", html.TAGS)
+        if by_feed:
+            reader.feed(text)
+            reader.close()
+        else:
+            reader = html._read_table(text, "t", "m")
+            assert html._read_table(text, "t", "", html.ALONE).tables == reader.tables
+        return reader.tables, reader.rows
+
+    pages = ["<table id=t><tr>" + "".join(rng.choice(plain if k % 2 else plain + odd) for _ in range(rng.randrange(12))) for k in range(4000)]
+    wanted = [read(page, True) for page in pages]
+    assert [read(page, False) for page in pages] == wanted
+    monkeypatch.setattr(html.HTMLParser, "goahead", None)
+    assert [read(page, False) for page in pages[1::2]] == wanted[1::2]
+
+
 def test_cells_beyond_the_columns_and_spans(rows):
     page = """<table id="t"><tr><th></th><th colspan="2">Games</th></tr><tr><th>Rk</th><th>A</th><th>B</th></tr>
 <tr><td rowspan="2">1<td colspan=2>x<td>lost</tr><tr><td>y</td><td>z</td></tr><tr><th>2</th><td>r</td></tr></table><table id="t"></table>"""
