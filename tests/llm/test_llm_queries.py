@@ -235,6 +235,33 @@ def test_near_lines_are_found_by_edit_similarity_alone(spark, rows):
     assert sum(found) >= 0.97 * sum(linked) > 180
 
 
+def test_keys_of_a_single_line_are_not_kept(spark, rows, monkeypatch):
+    """Of lines unlike each other and one pair of like ones, the pair's keys alone are compared again."""
+    import random
+
+    from seasonlab.llm import lines
+
+    rng = random.Random(3)
+    texts = [(k, " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(20))) for k in range(40)]
+    texts.append((40, texts[0][1] + "s"))
+    tables, stored = {}, lines.stored
+    monkeypatch.setattr(lines, "stored", lambda df, name: tables.setdefault(name, stored(df, name)))
+    kept = {r.doc_id: r.n_kept for r in lines.fuzzy_lines(rows(texts, "doc_id long, text string")).collect()}
+    assert kept == {k: int(k < 40) for k in range(41)}
+    shared = tables["shared-keys"]
+    assert shared.groupBy("key").count().where("count < 2").isEmpty() and shared.select("line").distinct().count() == 2
+
+
+def test_normal_lines(spark, rows):
+    from pyspark.sql import functions as F
+
+    from seasonlab.llm.lines import normal
+
+    lines = ["", " ", "--", "A  b", "-A!b-", "\tÉÀ ß\u00a0x\x00", "ΑΣ ΑΣ", "a\r", None]
+    want = ["", "", "", "a b", "a b", "éà ß\u00a0x", "ας ας", "a", None]
+    assert [r.n for r in rows([(x,) for x in lines], "x string").select(normal(F.col("x")).alias("n")).collect()] == want
+
+
 def test_components_of_a_chain_and_a_star(spark, rows):
     from seasonlab.llm.graph import components
 
