@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter, defaultdict
+from functools import reduce
 
 import brute
 import duckdb
@@ -252,6 +253,74 @@ def test_keys_of_a_single_line_are_not_kept(spark, rows, monkeypatch):
     assert shared.groupBy("key").count().where("count < 2").isEmpty() and shared.select("line").distinct().count() == 2
 
 
+def test_unlike_short_lines_are_not_compared(spark, rows, monkeypatch):
+    """Short lines that share a beginning, and so keys, are told apart by their letters before their texts are joined."""
+    from seasonlab.llm import lines
+
+    ends = ["".join(a + b for b in "qzxjvkwy") + a * 12 for a in "abcdefghilmnoprstu"]
+    texts = [(k, f"the same {end}") for k, end in enumerate(ends)] + [(90, f"the same {ends[0]}s"), (91, f"the sane {ends[3]}")]
+    compared, alike = [], lines.alike
+    monkeypatch.setattr(lines, "alike", lambda pairs, kept: compared.append(pairs.select("a", "b").collect()) or alike(pairs, kept))
+    kept = {r.doc_id: r.n_kept for r in lines.fuzzy_lines(rows(texts, "doc_id long, text string")).collect()}
+    assert kept == {k: int(k < 90) for k, _ in texts}
+    assert 2 <= sum(map(len, compared)) < 20
+
+
+def test_letters_rule_out_no_line_that_can_link(spark, rows):
+    """Random edits of short lines, as many as similarity allows, and the bound by letters with them."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from seasonlab.llm import lines
+
+    rng = random.Random(5)
+    letters = "etaoinsrhqzé ß1"
+    pairs = []
+    for n in range(1, 60):
+        x = [rng.choice(letters) for _ in range(n)]
+        y = list(x)
+        for _ in range(n // 5):
+            at, what = rng.randrange(len(y)), rng.choice("sid")
+            y[at : at + (what != "i")] = [rng.choice(letters)] if what != "d" else []
+        pairs.append(("".join(x), "".join(y)))
+    df = rows([(x, y) for x, y in pairs if 5 * brute.distance(x, y) <= max(len(x), len(y))], "x string, y string")
+    side = lambda c, p: [F.length(c).alias(f"size{p}"), F.lit(0).cast("long").alias(f"print{p}"), *[w.alias(f"w{k}{p}") for k, w in enumerate(lines.letter_bag(c))]]
+    found = df.select(*side("x", ""), *side("y", "_b")).select(lines.near().alias("near")).collect()
+    assert len(found) > 40 and all(r.near for r in found)
+
+
+def test_stretches_of_long_lines_are_those_of_the_whole_line(spark, rows):
+    """Rows of stretches, cut out of pieces, give the least hashes and the print that one list of them gives."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from seasonlab.llm import lines
+
+    rng = random.Random(8)
+    texts = [(k, "".join(rng.choice(letters) for _ in range(n))) for k, (n, letters) in enumerate([(6, "ab"), (37, "abc "), (38, "éab"), (63, "abcdef"), (64, "ß日a "), (500, "abcdefgh "), (5_000, "añ日bcdefgh ")])]
+    df = rows(texts, "line long, norm string").withColumn("size", F.length("norm"))
+    whole = df.withColumn("found", lines.hashes("norm", lines.GRAM)).withColumn("long", lines.least_hashes("found"))
+    print_of = lambda long: reduce(lambda bits, m: bits | (m & 1) << ((m % 2**64) >> 58), long, 0)
+    signed = lambda bits: bits - 2**64 if bits >= 2**63 else bits
+    assert {(r.line, r.size, tuple(r.long), r.print) for r in lines.least_of_stretches(df).collect()} == {(r.line, r.size, tuple(r.long), signed(print_of(r.long))) for r in whole.collect()}
+
+
+def test_joins_by_line_leave_texts_in_place(spark, rows, capsys):
+    """Texts dealt by line are not shuffled when a join or a grouping by line reads them, and no name stays in the catalog."""
+    from pyspark.sql import functions as F
+
+    from seasonlab.llm import lines
+
+    texts = lines.dealt(rows([(k, f"text {k}" * 9, 60) for k in range(50)], "line long, norm string, size int"), "line-texts", "line")
+    assert texts.count() == 50 and not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_texts")]
+    texts.hint("merge").join(texts.groupBy(F.col("line").alias("at")).count().hint("merge"), F.col("line") == F.col("at")).explain()
+    assert "Exchange hashpartitioning" not in capsys.readouterr().out
+    lines.least_of_stretches(texts).explain()
+    assert "Exchange" not in capsys.readouterr().out
+
+
 def test_normal_lines(spark, rows):
     from pyspark.sql import functions as F
 
