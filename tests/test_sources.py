@@ -224,3 +224,25 @@ def test_derived_tables_have_tasks_in_proportion_to_their_inputs(spark, tmp_path
     assert session.derived_table(spark, "sized-test", [given], build).count() == 20_000
     assert int(seen[0]) > int(before[0]) and int(seen[0]) >= 8
     assert [spark.conf.get(n) for n in names] == before
+
+
+def test_derived_tables_are_built_where_no_number_of_tasks_is_set(spark, tmp_path):
+    """A session may leave both settings to Spark: its defaults count, and they stay unset."""
+    given = str(tmp_path / "given.parquet")
+    spark.range(100).write.parquet(given)
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before, seen = {n: spark.conf.get(n, None) for n in names}, []
+
+    def build():
+        seen.append(spark.conf.get(names[0]))
+        return spark.read.parquet(given).groupBy(F.col("id") % 7).count()
+
+    try:
+        for n in names:
+            spark.conf.unset(n)
+        assert session.derived_table(spark, "unset-test", [given], build).count() == 7
+        assert seen == ["200"]
+        assert [spark.conf.get(n, None) for n in names] == [None, None]
+    finally:
+        for n, value in before.items():
+            spark.conf.unset(n) if value is None else spark.conf.set(n, value)
